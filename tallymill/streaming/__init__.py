@@ -1,0 +1 @@
+"""Holds no operator: all analyses of this package are batch jobs."""
