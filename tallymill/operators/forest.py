@@ -8,6 +8,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from tallymill.functions.calendar import iso_weekday
+from tallymill.session import written_table
 
 FEATURES = ["zone", "hour", "weekday", "month"]
 
@@ -24,10 +25,15 @@ def _featured(df: DataFrame) -> DataFrame:
 def fit_forest(
     train: DataFrame, trees: int = TREES, depth: int = DEPTH, max_categories: int = MAX_CATEGORIES, seed: int = 1
 ) -> PipelineModel:
-    """Fit on (zone, day, hour, hires) rows. Categories unseen in training are kept as one more."""
-    rows = _featured(train).withColumn("label", F.col("hires").cast("double"))
-    partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Fit on (zone, day, hour, hires) rows. Categories unseen in training are kept as one more.
+
+    Fitting passes over the rows several times, so they are written once in advance:
+    what they were derived from is not computed again for every pass.
+    """
+    rows = _featured(train).select(*FEATURES, F.col("hires").cast("double").alias("label"), "day")
+    rows = written_table(rows, "forest-train")
     # Sampling goes by partition and row order; a fixed layout makes the seed repeatable.
+    partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(partitions, "zone", "day", "hour").sortWithinPartitions("zone", "day", "hour")
     stages = [
         VectorAssembler(inputCols=FEATURES, outputCol="features"),

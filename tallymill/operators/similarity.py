@@ -16,8 +16,10 @@ def similarity_to(ratings: DataFrame, target, entity: str, dimension: str, value
     one aggregate, and pairs of other entities are never formed. The join carries no
     hint, because the target's vector has no bound; its measured size decides.
     """
-    cells = ratings.groupBy(entity, dimension).agg(F.sum(F.col(value).cast("double")).alias("v"))
-    own = ratings.where(F.col(entity) == F.lit(target)).groupBy(dimension).agg(F.sum(F.col(value).cast("double")).alias("t"))
+    known = ratings.where(F.col(entity).isNotNull() & F.col(dimension).isNotNull())
+    total = F.sum(F.col(value).cast("double"))
+    cells = known.groupBy(entity, dimension).agg(total.alias("v"))
+    own = known.where(F.col(entity) == F.lit(target)).groupBy(dimension).agg(total.alias("t"))
     own_square = own.agg(F.sum(F.col("t") * F.col("t"))).scalar()
     sums = (
         cells.join(own, dimension, "left")

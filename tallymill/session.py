@@ -5,12 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cpus: int | str = 8, memory: str = "20g") -> SparkSession:
+def local_session(cpus: int | str = 8, memory: str = "20g", **settings: str) -> SparkSession:
     """A single-machine session. A cluster job brings its own session instead."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tallymill")
         .config("spark.driver.memory", memory)
@@ -19,8 +19,10 @@ def local_session(cpus: int | str = 8, memory: str = "20g") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for name, value in settings.items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -37,3 +39,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         parent = tempfile.mkdtemp(prefix="tallymill-")
     return f"{parent.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a shared folder and read it from there.
+
+    Later passes start from the files, so neither they nor the loss of an executor
+    brings back the work before.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
