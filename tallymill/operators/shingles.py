@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallymill.functions.hashing import coefficients, hash32, universal_hash, word_shingles
-from tallymill.functions.text import plain_words
+from tallymill.functions.text import with_plain_words
 
 # Hash functions evaluated per exploded row. Eight keep the generated aggregation code
 # small enough for the JIT compiler.
@@ -76,6 +76,6 @@ def signature_arrays(signatures: DataFrame, doc_id: str = "doc_id") -> DataFrame
 
 
 def _hashed(df: DataFrame, doc_id: str, text: str, size: int, method: str) -> DataFrame:
-    words = df.select(doc_id, plain_words(F.col(text)).alias("words"))
+    words = with_plain_words(df, text, [doc_id])
     runs = words.select(doc_id, word_shingles(F.col("words"), size).alias("runs"))
     return runs.select(doc_id, F.transform("runs", lambda run: hash32(run, method)).alias("shingles"))

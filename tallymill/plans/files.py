@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallymill.operators import columns, demand, links, popularity, scores, shingles, words
 from tallymill.plans import tables
-from tallymill.session import shared_folder
+from tallymill.session import shared_folder, written_table
 from tallymill.sinks import writers
 from tallymill.sources import corpus, delimited, schemas
 
@@ -56,7 +56,7 @@ def feedback_files_hourly(spark, sf) -> DataFrame:
     """One CSV per platform with 144 tick columns, read by one glob; sliding hourly means."""
     folder = shared_folder(spark, "feedback")
     keys = ["entity", "block"]
-    ticks = popularity.ticks_from_rows(tables.tick_rows(spark, sf), keys, "slot", "value")
+    ticks = written_table(popularity.ticks_from_rows(tables.tick_rows(spark, sf), keys, "slot", "value"), "ticks")
     wide = popularity.as_columns(ticks, keys, "ticks", "TS", popularity.TICKS)
     kinds = F.array(*[F.lit(k) for k in ("click", "error", "purchase", "signup", "view")])
     item = F.col("block") * 10 + F.array_position(kinds, F.col("entity"))

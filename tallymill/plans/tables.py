@@ -55,11 +55,11 @@ def hires(spark: SparkSession, folder: str) -> DataFrame:
 
 def hire_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Training rows of the first days, and the later rows with a running test_id."""
-    rows = hires(spark, folder).withColumn("age", F.date_diff("day", F.lit(FIRST_DAY).cast("date")))
-    number = (F.col("age") * 24 + F.col("hour")) * ZONES + F.col("zone")
-    train = rows.where(F.col("age") < TRAIN_DAYS).drop("age")
-    test = rows.where(F.col("age") >= TRAIN_DAYS).withColumn("test_id", number).drop("age")
-    return train, test
+    rows = hires(spark, folder)
+    first = F.lit(FIRST_DAY).cast("date")
+    border = F.date_add(first, TRAIN_DAYS)
+    number = (F.date_diff("day", first) * 24 + F.col("hour")) * ZONES + F.col("zone")
+    return rows.where(F.col("day") < border), rows.where(F.col("day") >= border).withColumn("test_id", number)
 
 
 def order_hires(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallymill.session import written_table
+
 SINGLE_FILE_ROWS = 1_000_000
 
 
@@ -36,10 +38,14 @@ def write_per_key(df: DataFrame, path: str, keys: list[str], order: list[Column]
 
 
 def write_single(df: DataFrame, path: str, order: list, header: bool = False, sep: str = ",", max_rows: int = SINGLE_FILE_ROWS) -> None:
-    """One sorted file for a small result; larger ones are refused, ``write_sorted`` takes them."""
-    if df.limit(max_rows + 1).count() > max_rows:
+    """One sorted file for a small result; larger ones are refused, ``write_sorted`` takes them.
+
+    The result is written once in parallel before it is counted, so it is not computed twice.
+    """
+    result = written_table(df, "single-file")
+    if result.limit(max_rows + 1).count() > max_rows:
         raise ValueError(f"more than {max_rows} rows: use write_sorted")
-    write_csv(df.coalesce(1).sortWithinPartitions(*order), path, header, sep)
+    write_csv(result.coalesce(1).sortWithinPartitions(*order), path, header, sep)
 
 
 def write_joined_lines(df: DataFrame, path: str, keys: list[str], value: str, order: list) -> None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallymill.functions.text import plain_words
+from tallymill.functions.text import with_plain_words
 from tallymill.sources import schemas
 
 # Predefined entities, the ampersand last so that nothing is decoded twice.
@@ -35,7 +35,7 @@ def corpus_documents(
 ) -> DataFrame:
     """(keep..., position, body, words) of every record; a record without body has no words."""
     bodies = records(df, text, keep, record_tag).select(*keep, "position", body_text(F.col("record"), body_tag).alias("body"))
-    return bodies.select(*keep, "position", "body", plain_words(F.col("body")).alias("words"))
+    return with_plain_words(bodies, "body", [*keep, "position", "body"])
 
 
 def read_corpus(spark: SparkSession, path, record_tag: str = schemas.RECORD_TAG, body_tag: str = schemas.BODY_TAG) -> DataFrame:
@@ -58,4 +58,4 @@ def read_large_corpus(spark: SparkSession, path, closing_tag: str, body_tag: str
         F.monotonically_increasing_id().alias("position"),
         body_text(F.col("value"), body_tag).alias("body"),
     )
-    return bodies.select("file", "position", "body", plain_words(F.col("body")).alias("words"))
+    return with_plain_words(bodies, "body", ["file", "position", "body"])

@@ -108,5 +108,5 @@ def test_matrix_is_square_with_zeros(spark, rows):
 
 def test_plain_words_keep_places_of_removed_marks(spark):
     df = spark.createDataFrame([(" A.b,\t... C \n",), ("  ",), (None,)], "text string")
-    got = [r.w for r in df.select(text.plain_words(F.col("text")).alias("w")).collect()]
+    got = [r.words for r in text.with_plain_words(df, "text", []).collect()]
     assert got == [["ab", "", "c"], [], []]
