@@ -90,7 +90,9 @@ def user_file_ages(spark, sf) -> DataFrame:
     """Users separated by ``::`` as they are read back."""
     path = shared_folder(spark, "users")
     people = tables.load(spark, sf, "customer")
-    user = F.concat_ws("::", "c_custkey", F.substring("c_mktsegment", 1, 1), "c_nationkey", F.lit(200), F.col("c_custkey") + 10000)
+    # Every other occupation is out of the range of its type and has to come back as null.
+    occupation = F.col("c_nationkey") + F.col("c_custkey") % 2 * 200
+    user = F.concat_ws("::", "c_custkey", F.substring("c_mktsegment", 1, 1), "c_nationkey", occupation, F.col("c_custkey") + 10000)
     people.select(user).write.text(path)
     users = delimited.read_users(spark, path)
     return users.select("UserID", "Gender", F.col("Age").cast("int").alias("Age"), F.col("Occupation").cast("int").alias("Occupation"), F.col("Zip-code").alias("zip"))

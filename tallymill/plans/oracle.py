@@ -233,7 +233,8 @@ MOVIE_FILES = """
 SELECT p_partkey::INT AS "MovieID", p_name || ', The (1995): ' || p_type || '+' || p_brand AS "Title", round(avg(l_quantity), 6) AS average
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL"""
 USER_FILE = """
-SELECT c_custkey::INT AS "UserID", c_mktsegment[1] AS "Gender", c_nationkey::INT AS "Age", NULL::INT AS "Occupation",
+SELECT c_custkey::INT AS "UserID", c_mktsegment[1] AS "Gender", c_nationkey::INT AS "Age",
+       CASE WHEN c_custkey % 2 = 0 THEN c_nationkey END::INT AS "Occupation",
        (c_custkey + 10000)::INT AS zip FROM customer"""
 EDGE_FILE = "SELECT l_partkey::INT AS src, count(DISTINCT l_suppkey) AS degree FROM lineitem GROUP BY l_partkey"
 GPS_FILE = f"""

@@ -52,6 +52,40 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in plan and "Join" not in plan
 
 
+def final_plan(df):
+    """The executed plan of a query that has run, without the plans it started from."""
+    df.collect()
+    kept, skip = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        indent = len(line) - len(line.lstrip(" :+-"))
+        if skip is not None and indent > skip:
+            continue
+        skip = indent - 1 if "== Initial Plan ==" in line else None
+        if skip is None:
+            kept.append(line)
+    return "\n".join(kept)
+
+
+def test_cooccurrence_reads_the_corpus_twice(spark):
+    assert final_plan(catalog.cooccurrence(spark, FOLDER)).count("FileScan") == 2
+
+
+def test_bounds_of_all_columns_are_one_subquery(spark):
+    assert final_plan(catalog.minmax_normalize(spark, FOLDER)).count("FileScan") == 2
+
+
+def test_hot_keys_are_reduced_before_they_meet(spark):
+    plan = catalog.out_degree(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(src#\d+L, dst#\d+L", plan)
+    plan = catalog.top_words_by_topic(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"WindowGroupLimit .* Partial", plan)
+
+
+def test_test_and_training_days_prune_the_scan(spark):
+    plan = catalog.profile_forecast(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(ts,2024-01-24T00:00)" in plan and "GreaterThanOrEqual(ts,2024-01-24T00:00)" in plan
+
+
 def test_topics_add_up_to_the_total(spark):
     total = {r.word: r.n for r in catalog.word_count_total(spark, FOLDER).collect()}
     by_topic: dict = {}
