@@ -11,19 +11,6 @@ PRIME = 4294967311
 MAX_HASH = 4294967295
 
 
-def word_shingles(words: Column, size: int = 3) -> Column:
-    """All runs of ``size`` consecutive words, joined by a blank, duplicates included.
-
-    Shifted copies of the array are zipped, so no lambda refers back to ``words``:
-    such a reference would tokenise the text again for every position.
-    """
-    starts = F.greatest(F.size(words) - (size - 1), F.lit(0))
-    runs = F.slice(words, 1, starts)
-    for shift in range(1, size):
-        runs = F.zip_with(runs, F.slice(words, shift + 1, starts), lambda left, right: F.concat_ws(" ", left, right))
-    return runs
-
-
 def hash32(text: Column, method: str = "crc32") -> Column:
     """Unsigned 32-bit hash of the UTF-8 text as bigint."""
     if method == "crc32":
@@ -33,6 +20,19 @@ def hash32(text: Column, method: str = "crc32") -> Column:
     raise ValueError(f"unknown hash method: {method}")
 
 
+def shingle_hashes(words: Column, size: int = 3, method: str = "crc32") -> Column:
+    """Hashes of all runs of ``size`` consecutive words joined by a blank, duplicates included.
+
+    Shifted copies of the array are zipped, so the lambda does not refer back to ``words``:
+    such a reference would tokenise the text again for every position.
+    """
+    starts = F.greatest(F.size(words) - (size - 1), F.lit(0))
+    shifted = [F.slice(words, shift + 1, starts).alias(f"w{shift}") for shift in range(size)]
+    return F.transform(
+        F.arrays_zip(*shifted), lambda run: hash32(F.concat_ws(" ", *[run[f"w{i}"] for i in range(size)]), method)
+    )
+
+
 def coefficients(count: int, seed: int) -> list[tuple[int, int]]:
     """``count`` reproducible pairs (a, b), each drawn from [0, MAX_HASH)."""
     draw = random.Random(seed)
@@ -45,11 +45,68 @@ def coefficient_table(spark: SparkSession, count: int, seed: int) -> DataFrame:
     return spark.createDataFrame(rows, "hash_idx int, a bigint, b bigint")
 
 
-def universal_hash(a: Column, b: Column, x: Column) -> Column:
-    """(a * x + b) mod PRIME for 32-bit a, b and x.
+def signature_batches(pairs: list[tuple[int, int]], prime: int = PRIME):
+    """A ``mapInArrow`` function from (id, piece number, shingle hashes) to (id, signature).
+
+    The pieces of a document follow each other, numbered from 0; their minima are merged
+    across batches, so a batch never has to hold a whole document. With 32-bit inputs
+    a * x + b stays below 2^64, exact in unsigned arithmetic. A document without
+    shingles gets 0 everywhere.
 
-    The product of two 32-bit numbers overflows a bigint, hence x enters in two
-    16-bit halves; every intermediate value then stays below 2^50.
+    All helpers are nested, so that the function travels to the workers by value and they need
+    nothing but numpy and pyarrow.
     """
-    high, low = F.shiftright(x, 16), x.bitwiseAND(65535)
-    return ((a * high % PRIME) * 65536 + a * low + b) % PRIME
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        none = np.uint64(2**64 - 1)
+        values_at_once = 16384
+        modulus = np.uint64(prime)
+        functions = [(np.uint64(a), np.uint64(b)) for a, b in pairs]
+
+        def piece_minima(lists):
+            offsets = lists.offsets.to_numpy()
+            hashes = lists.values.to_numpy(zero_copy_only=False).astype(np.uint64)
+            minima = np.full((len(lists), len(functions)), none, dtype=np.uint64)
+            filled = np.flatnonzero(np.diff(offsets))
+            starts = offsets[filled]
+            begin = 0
+            while begin < len(filled):
+                end = max(begin + 1, int(np.searchsorted(starts, starts[begin] + values_at_once)))
+                low, high = starts[begin], offsets[filled[end - 1] + 1]
+                for index, (a, b) in enumerate(functions):
+                    hashed = (hashes[low:high] * a + b) % modulus
+                    minima[filled[begin:end], index] = np.minimum.reduceat(hashed, starts[begin:end] - low)
+                begin = end
+            return minima
+
+        def finished(ids, minima):
+            signatures = np.where(minima == none, 0, minima).astype(np.int64)
+            width = len(functions)
+            offsets = np.arange(0, len(ids) * width + 1, width, dtype=np.int32)
+            return pa.RecordBatch.from_arrays(
+                [ids, pa.ListArray.from_arrays(offsets, signatures.ravel())], [id_name, "signature"]
+            )
+
+        last_id, last = None, None
+        for batch in batches:
+            id_name = batch.schema.names[0]
+            minima = piece_minima(batch.column(2))
+            heads = np.flatnonzero(batch.column(1).to_numpy() == 0)
+            continued = heads[0] if len(heads) else len(minima)
+            if continued:
+                last = np.minimum(last, minima[:continued].min(axis=0))
+            if len(heads):
+                if last is not None:
+                    yield finished(last_id, last[None, :])
+                merged = np.minimum.reduceat(minima, heads, axis=0)
+                ids = batch.column(0).take(pa.array(heads))
+                if len(heads) > 1:
+                    yield finished(ids[:-1], merged[:-1])
+                last_id, last = ids[-1:], merged[-1]
+        if last is not None:
+            yield finished(last_id, last[None, :])
+
+    return run

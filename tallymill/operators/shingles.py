@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tallymill.functions.hashing import coefficients, hash32, universal_hash, word_shingles
+from tallymill.functions.hashing import coefficients, shingle_hashes, signature_batches
 from tallymill.functions.text import with_plain_words
 
-# Hash functions evaluated per exploded row. Eight keep the generated aggregation code
-# small enough for the JIT compiler.
-BLOCK = 8
+# Most shingles of a document per row sent to a Python worker.
+PIECE = 1024
 
 
 def shingle_sets(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, method: str = "crc32") -> DataFrame:
@@ -35,7 +34,7 @@ def shingle_doc_columns(matrix: DataFrame, doc_ids: list, doc_id: str = "doc_id"
     return wide.fillna(0, subset=names)
 
 
-def minhash_signatures(
+def minhash_arrays(
     df: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
@@ -44,38 +43,28 @@ def minhash_signatures(
     size: int = 3,
     method: str = "crc32",
 ) -> DataFrame:
-    """(doc_id, hash_idx, minhash): the least hash value of a document under each function.
+    """(doc_id, signature): the least hash value of a document under each of the functions.
 
-    A document without shingles gets 0 everywhere. Repeated shingles cannot change a
-    minimum, so they are not removed first. Every shingle is expanded to one row per
-    block of functions and reduced to (doc_id, block) minima before the shuffle.
+    Nothing is shuffled, because a signature needs its own document only. Shingles are hashed
+    by Spark and handed in pieces of limited size, as Arrow batches, to a numpy loop over the
+    functions. As Spark expressions the same minima take one aggregation row per shingle and
+    block of functions, and the shuffle of all signatures: more than three times as long.
     """
-    pairs = coefficients(num_hashes, seed)
-    blocks = -(-num_hashes // BLOCK)
-    pairs += [(0, 0)] * (blocks * BLOCK - num_hashes)
+    hashes = _hashed(df, doc_id, text, size, method)
+    starts = F.when(F.size("shingles") > 0, F.sequence(F.lit(0), F.size("shingles") - 1, F.lit(PIECE)))
+    pieces = F.transform(starts, lambda start: F.slice("shingles", start + 1, PIECE))
+    rows = hashes.select(doc_id, F.posexplode_outer(pieces).alias("piece", "shingles"))
+    empty = F.array().cast("array<bigint>")
+    rows = rows.select(doc_id, F.coalesce("piece", F.lit(0)).alias("piece"), F.coalesce("shingles", empty).alias("shingles"))
+    schema = T.StructType([df.schema[doc_id], T.StructField("signature", T.ArrayType(T.LongType()))])
+    return rows.mapInArrow(signature_batches(coefficients(num_hashes, seed)), schema)
 
-    shingles = _hashed(df, doc_id, text, size, method).select(doc_id, F.explode_outer("shingles").alias("x"))
-    rows = shingles.select(doc_id, "x", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
 
-    def nth(j: int, part: int):
-        values = F.array(*[F.lit(pairs[b * BLOCK + j][part]).cast("bigint") for b in range(blocks)])
-        return F.get(values, F.col("block"))
-
-    minima = [F.min(universal_hash(nth(j, 0), nth(j, 1), F.col("x"))).alias(f"m{j}") for j in range(BLOCK)]
-    least = rows.groupBy(doc_id, "block").agg(*minima)
-    entries = F.array(*[F.coalesce(f"m{j}", F.lit(0)) for j in range(BLOCK)])
-    signature = least.select(doc_id, "block", F.posexplode(entries).alias("offset", "minhash"))
-    hash_idx = F.col("block") * BLOCK + F.col("offset")
-    return signature.select(doc_id, hash_idx.alias("hash_idx"), "minhash").where(F.col("hash_idx") < num_hashes)
-
-
-def signature_arrays(signatures: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, signature): the values of each document in the order of the hash functions."""
-    entries = F.sort_array(F.collect_list(F.struct("hash_idx", "minhash")))
-    return signatures.groupBy(doc_id).agg(F.transform(entries, lambda e: e["minhash"]).alias("signature"))
+def minhash_signatures(df: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
+    """(doc_id, hash_idx, minhash): :func:`minhash_arrays` with one row per function."""
+    return minhash_arrays(df, doc_id, **options).select(doc_id, F.posexplode("signature").alias("hash_idx", "minhash"))
 
 
 def _hashed(df: DataFrame, doc_id: str, text: str, size: int, method: str) -> DataFrame:
     words = with_plain_words(df, text, [doc_id])
-    runs = words.select(doc_id, word_shingles(F.col("words"), size).alias("runs"))
-    return runs.select(doc_id, F.transform("runs", lambda run: hash32(run, method)).alias("shingles"))
+    return words.select(doc_id, shingle_hashes(F.col("words"), size, method).alias("shingles"))

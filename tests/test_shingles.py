@@ -1,8 +1,6 @@
 import random
 import zlib
 
-from pyspark.sql import functions as F
-
 from tallymill.functions import hashing
 from tallymill.operators import shingles
 
@@ -44,31 +42,57 @@ def test_matrix_holds_ones(spark, rows):
     assert rows(wide) == sorted([(abc, 1, 1), (bcd, 0, 1)], key=repr)
 
 
-def test_universal_hash_is_exact(spark):
+def signatures(texts, count, seed):
+    pairs = hashing.coefficients(count, seed)
+    return [
+        (doc, index, min(((a * x + b) % hashing.PRIME for x in brute_shingles(text)), default=0))
+        for doc, text in enumerate(texts)
+        for index, (a, b) in enumerate(pairs)
+    ]
+
+
+def test_hash_function_is_exact_at_the_limits():
+    import pyarrow as pa
+
     draw = random.Random(5)
-    triples = [tuple(draw.randrange(2**32) for _ in range(3)) for _ in range(500)] + [(2**32 - 1,) * 3]
-    df = spark.createDataFrame(triples, "a bigint, b bigint, x bigint")
-    got = df.select("a", "b", "x", hashing.universal_hash(F.col("a"), F.col("b"), F.col("x")).alias("h")).collect()
-    assert all(r.h == (r.a * r.x + r.b) % hashing.PRIME for r in got)
-    assert [r.h for r in got if r.a == r.b == r.x == 2**32 - 1] == [240]
+    top = 2**32 - 1
+    pairs = [(draw.randrange(top), draw.randrange(top)) for _ in range(20)] + [(top, top)]
+    values = [draw.randrange(2**32) for _ in range(50)] + [top]
+    rows = pa.RecordBatch.from_pydict(
+        {"id": list(range(51)), "piece": pa.array([0] * 51, pa.int32()), "shingles": pa.array([[v] for v in values], pa.list_(pa.int64()))}
+    )
+    (first, last) = hashing.signature_batches(pairs)([rows])
+    got = first.column(1).to_pylist() + last.column(1).to_pylist()
+    assert got == [[(a * x + b) % hashing.PRIME for a, b in pairs] for x in values]
+    assert got[-1][-1] == 240
 
 
 def test_signatures_against_brute_force(spark, rows):
-    for count in (5, 8, 19):
-        pairs = hashing.coefficients(count, seed=3)
+    for count in (5, 19):
         got = rows(shingles.minhash_signatures(docs(spark, *TEXTS), num_hashes=count, seed=3))
-        expected = []
-        for doc, text in enumerate(TEXTS):
-            for index, (a, b) in enumerate(pairs):
-                expected.append((doc, index, min(((a * x + b) % hashing.PRIME for x in brute_shingles(text)), default=0)))
-        assert got == sorted(expected, key=repr)
+        assert got == sorted(signatures(TEXTS, count, 3), key=repr)
+
+
+def test_documents_are_merged_from_pieces_and_batches(spark, rows, monkeypatch):
+    texts = [" ".join(f"w{(i * i + n) % 41}" for i in range(n * 7 % 60)) for n in range(40)]
+    monkeypatch.setattr(shingles, "PIECE", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        got = rows(shingles.minhash_signatures(docs(spark, *texts).coalesce(2), num_hashes=4, seed=3))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted(signatures(texts, 4, 3), key=repr)
+
+
+def test_signatures_need_no_shuffle(spark):
+    plan = shingles.minhash_signatures(docs(spark, "a b c"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
 def test_equal_texts_have_equal_signatures_and_overlap_shows(spark):
     words = [f"w{i}" for i in range(200)]
     texts = [" ".join(words), " ".join(words), " ".join(words[:150] + ["x"] * 50)]
-    signatures = shingles.signature_arrays(shingles.minhash_signatures(docs(spark, *texts)))
-    by_doc = {r.doc_id: r.signature for r in signatures.collect()}
+    by_doc = {r.doc_id: r.signature for r in shingles.minhash_arrays(docs(spark, *texts)).collect()}
     assert len(by_doc[0]) == 256 and by_doc[0] == by_doc[1]
     left, right = brute_shingles(texts[0]), brute_shingles(texts[2])
     jaccard = len(left & right) / len(left | right)
