@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymill.llm import langid, mixing, packing, simhash, token_count, topk
+from tallymill.llm import langid, lattice, mixing, packing, simhash, token_count, topk
 from tallymill.plans.tables import load
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +25,10 @@ def op2_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_duplicates(load(spark, folder, "embeddings"))
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(load(spark, folder, "documents"), WORD_BPE, keep_ids=False).drop("ids")
 
@@ -49,6 +53,7 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_token_counts,
     op2_simhash_groups,
+    op5_near_vectors,
     op6_packing,
     op7_top_k,
     op8_mixing,

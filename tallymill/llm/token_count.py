@@ -48,8 +48,21 @@ def _tokenizer(path: str):
     return tokenizer, pieces
 
 
-def _bucket(token: str, buckets: int) -> int:
-    return zlib.crc32(token.encode()) % buckets
+def _hashes(tokens: list[str]) -> np.ndarray:
+    return np.fromiter((zlib.crc32(t.encode()) for t in tokens), np.int64, len(tokens))
+
+
+def _packed(tokens: list[str]) -> bytes:
+    lengths = np.fromiter(map(len, tokens), "<i4", len(tokens))
+    return zstandard.compress(np.int32(len(tokens)).tobytes() + lengths.tobytes() + "".join(tokens).encode(), 3)
+
+
+def _unpacked(data: bytes) -> list[str]:
+    data = zstandard.decompress(data)
+    n = int(np.frombuffer(data, "<i4", 1)[0])
+    ends = np.cumsum(np.frombuffer(data, "<i4", n, 4)).tolist()
+    text = data[4 + 4 * n :].decode()
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
 
 
 class _Block:
@@ -73,24 +86,36 @@ class _Block:
         self.bytes += size
 
     def batch(self, number: int, id_type: pa.DataType) -> pa.RecordBatch:
-        counts = np.concatenate([np.empty(0, np.int32), *self.tokens, *self.times]).astype("<i4")
+        """The block as a row. Tokens are in the order of their hash, so any buckets are runs of them."""
+        tokens = list(self.place)
+        order = np.argsort(_hashes(tokens), kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        steps, times = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+        for ids, count in zip(self.tokens, self.times):
+            ids = rank[ids]
+            by_id = np.argsort(ids)
+            steps.append(np.diff(ids[by_id], prepend=np.int32(0)))
+            times.append(count[by_id])
+        counts = np.concatenate(steps + times).astype("<i4")
         return pa.record_batch(
             {
                 "block": pa.array([number], pa.int64()),
                 "ids": pa.array([self.ids], pa.list_(id_type)),
                 "sizes": pa.array([self.sizes], pa.list_(pa.int64())),
                 "lengths": pa.array([self.lengths], pa.list_(pa.int32())),
-                "counts": pa.array([zstandard.compress(counts.tobytes(), 1)], pa.binary()),
-                "tokens": pa.array([list(self.place)], pa.list_(pa.string())),
+                "counts": pa.array([zstandard.compress(counts.view(np.uint8).reshape(-1, 4).T.tobytes(), 3)], pa.binary()),
+                "n": pa.array([len(tokens)], pa.int32()),
+                "tokens": pa.array([_packed([tokens[i] for i in order])], pa.binary()),
             }
         )
 
 
-def _by_bucket(tokens: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of tokens in order of their bucket, and the sorted buckets."""
-    bucket = np.fromiter((_bucket(t, buckets) for t in tokens), np.int64, len(tokens))
-    order = np.argsort(bucket, kind="stable")
-    return order, bucket[order]
+def _counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Steps between the sorted tokens of each document, and the tokens' frequencies."""
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8)
+    both = np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
+    return both[: len(both) // 2], both[len(both) // 2 :]
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -119,49 +144,47 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id"
             yield block.batch(number, id_type)
 
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    shape = f"block long, ids array<{id_kind}>, sizes array<bigint>, lengths array<int>, counts binary, tokens array<string>"
+    shape = f"block long, ids array<{id_kind}>, sizes array<bigint>, lengths array<int>, counts binary, n int, tokens binary"
     blocks = written_table(chosen.mapInArrow(cut, shape), "token-blocks")
-    total = blocks.agg(F.sum(F.size("tokens"))).first()[0] or 0
+    total = blocks.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_TOKENS))
 
     def send(batches):
         for batch in batches:
-            for number, tokens in zip(batch.column("block").to_pylist(), batch.column("tokens")):
-                tokens = tokens.as_py()
-                order, bucket = _by_bucket(tokens, buckets)
+            for number, packed in zip(batch.column("block").to_pylist(), batch.column("tokens")):
+                tokens = _unpacked(packed.as_py())
+                bucket = _hashes(tokens) * buckets >> 32
                 starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, int)
-                sorted_tokens = pa.array([tokens[i] for i in order], pa.string())
-                lists = pa.ListArray.from_arrays(np.r_[starts, len(bucket)].astype(np.int32), sorted_tokens)
-                yield pa.record_batch({"bucket": bucket[starts], "block": np.full(len(starts), number), "tokens": lists})
+                runs = [_packed(tokens[a:b]) for a, b in zip(starts, [*starts[1:], len(tokens)])]
+                yield pa.record_batch({"bucket": bucket[starts], "block": np.full(len(starts), number), "tokens": pa.array(runs, pa.binary())})
 
     def encode(table: pa.Table) -> pa.Table:
         tokenizer, _ = _tokenizer(tokenizer_path)
-        lists = table["tokens"].combine_chunks()
-        tokens = lists.flatten().dictionary_encode()
+        lists = [_unpacked(x.as_py()) for x in table["tokens"]]
+        tokens = pa.array([t for part in lists for t in part], pa.string()).dictionary_encode()
         distinct = tokens.dictionary.to_pylist()
         pieces = np.zeros(len(distinct), np.int32)
         for at in range(0, len(distinct), 10_000):
             found = tokenizer.encode_batch_fast(distinct[at : at + 10_000], add_special_tokens=False)
             pieces[at : at + len(found)] = [len(x.ids) for x in found]
         counts = pa.array(pieces[tokens.indices.to_numpy()])
-        offsets = np.r_[0, np.cumsum(lists.value_lengths().to_numpy())].astype(np.int32)
+        offsets = np.r_[0, np.cumsum([len(part) for part in lists])].astype(np.int32)
         return pa.table({"bucket": table["bucket"], "block": table["block"], "pieces": pa.ListArray.from_arrays(offsets, counts)})
 
     def total_up(block: pa.Table, pieces: pa.Table) -> pa.Table:
         ids, sizes, lengths = (block[c].combine_chunks().flatten() for c in ("ids", "sizes", "lengths"))
-        counts = np.frombuffer(zstandard.decompress(block["counts"][0].as_py()), "<i4")
-        tokens, times = counts[: len(counts) // 2], counts[len(counts) // 2 :]
-        names = block["tokens"][0].as_py()
-        order, _ = _by_bucket(names, buckets)
-        of_token = np.zeros(len(names), np.int64)
-        by_bucket = pieces.sort_by("bucket")["pieces"].combine_chunks()
-        of_token[order] = by_bucket.flatten().to_numpy()
-        sums = np.r_[0, np.cumsum(of_token[tokens] * times)]
+        steps, times = _counts(block["counts"][0].as_py())
+        of_token = pieces.sort_by("bucket")["pieces"].combine_chunks().flatten().to_numpy().astype(np.int64)
+        documents = np.repeat(np.arange(len(lengths)), lengths.to_numpy())
+        run = np.cumsum(steps.astype(np.int64))
+        first = np.r_[0, np.cumsum(lengths.to_numpy().astype(np.int64))[:-1]]
+        before = np.r_[0, run][first]
+        sums = np.r_[0, np.cumsum(of_token[run - before[documents]] * times)]
         ends = np.cumsum(lengths.to_numpy().astype(np.int64))
         n_tokens = sums[ends] - sums[ends - lengths.to_numpy()]
         return pa.table({"id": ids, "n_bytes": sizes, "n_tokens": pa.array(n_tokens, pa.int64())})
 
-    sent = blocks.select("block", "tokens").mapInArrow(send, "bucket long, block long, tokens array<string>")
+    sent = blocks.select("block", "tokens").mapInArrow(send, "bucket long, block long, tokens binary")
     pieces = sent.groupBy("bucket").applyInArrow(encode, "bucket long, block long, pieces array<int>")
-    result = blocks.groupBy("block").cogroup(pieces.groupBy("block")).applyInArrow(total_up, f"id {id_kind}, n_bytes long, n_tokens long")
+    result = blocks.drop("tokens", "n").groupBy("block").cogroup(pieces.groupBy("block")).applyInArrow(total_up, f"id {id_kind}, n_bytes long, n_tokens long")
     return result.withColumnRenamed("id", id_column)
