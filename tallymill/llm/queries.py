@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymill.llm import langid, lattice, mixing, packing, simhash, token_count, topk
+from tallymill.llm import langid, lattice, mixing, packing, repeats, simhash, token_count, topk
 from tallymill.plans.tables import load
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +25,13 @@ def op2_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    cut = repeats.remove_repeats(load(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.begin)
+    spans = F.size("spans").cast("long")
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), spans.alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.near_duplicates(load(spark, folder, "embeddings"))
 
@@ -53,6 +60,7 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_token_counts,
     op2_simhash_groups,
+    op4_repeats,
     op5_near_vectors,
     op6_packing,
     op7_top_k,
