@@ -7,12 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymill.llm import langid, lattice, mixing, packing, repeats, simhash, token_count, topk
+from tallymill.llm import langid, lattice, mixing, packing, pii, repeats, resampling, simhash, token_count, topk
 from tallymill.plans.tables import load
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 TOKEN_LIMIT = 512
+#: The queries' key; whoever uses the operator brings a secret one.
+PSEUDONYM_KEY = b"key of the test queries"
 
 
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,6 +27,13 @@ def op2_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    replaced = pii.pseudonymise(F.col("text"), PSEUDONYM_KEY).alias("p")
+    rows = load(spark, folder, "documents").select("doc_id", replaced)
+    kinds = [F.size(F.filter("p.found.kind", lambda k: k == F.lit(kind))).alias(f"n_{kind}") for kind in pii.KINDS]
+    return rows.select("doc_id", "p.text", F.size("p.found").alias("n_found"), *kinds)
+
+
 def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
     cut = repeats.remove_repeats(load(spark, folder, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.begin)
@@ -57,15 +66,22 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "held_out", "p.lang_pred", "p.score", "p.rejected")
 
 
+def op10_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    good = load(spark, folder, "labels").where("quality = 1 and toxic = 0").select(F.col("doc_id").alias("id"))
+    return resampling.resample(load(spark, folder, "documents"), good)
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_token_counts,
     op2_simhash_groups,
+    op3_pseudonyms,
     op4_repeats,
     op5_near_vectors,
     op6_packing,
     op7_top_k,
     op8_mixing,
     op9_language,
+    op10_resampling,
 ]
 
 ORACLE_SQL = {
