@@ -9,37 +9,45 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Bits of a place; blocks are shorter, so that two ranks and a place are sorted as one number.
+PLACE = 21
 #: Symbols compared at once when suffixes are first sorted.
-_PACK = 7
+_PACK = 4
 
 
 def suffix_ranks(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Rank of every suffix; ``ends`` are the places of the text ends, which differ and sort first, in order."""
     n = len(symbols)
+    if n >> PLACE:
+        raise ValueError(f"a block has at most {1 << PLACE} bytes")
+    low = (1 << PLACE) - 1
     end_of = np.repeat(ends, np.diff(ends, prepend=-1))
     place = np.arange(n)
     packed = np.zeros(n, np.int64)
     for k in range(_PACK):
-        inside = place + k < end_of
-        packed = packed << 9 | np.where(inside, symbols[np.minimum(place + k, n - 1)], 0)
-    closed = end_of - place < _PACK
-    order = np.argsort(packed, kind="stable")
-    new = np.r_[True, (packed[order[1:]] != packed[order[:-1]]) | closed[order[1:]] | closed[order[:-1]]]
+        packed = packed << 9 | np.where(place + k < end_of, symbols[np.minimum(place + k, n - 1)], 0)
+    packed = np.sort(packed << PLACE | place)
+    order = packed & low
+    packed >>= PLACE
+    closed = end_of[order] - order < _PACK
+    new = np.ones(n, bool)
+    new[1:] = (packed[1:] != packed[:-1]) | closed[1:] | closed[:-1]
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, place, 0))
-    size = np.bincount(rank, minlength=n)
-    open_ = np.flatnonzero(size[rank] > 1)
-    step = _PACK
+    tied = ~new
+    tied[:-1] |= tied[1:]
+    open_, step = order[tied], _PACK
     while len(open_):
-        second = rank[open_ + step]
-        order = open_[np.lexsort((second, rank[open_]))]
-        first, second = rank[order], rank[order + step]
+        key = np.sort(rank[open_] << 2 * PLACE | rank[open_ + step] << PLACE | open_)
+        order, both, first = key & low, key >> PLACE, key >> 2 * PLACE
         at = np.arange(len(order))
-        group = np.r_[True, first[1:] != first[:-1]]
-        new = group | np.r_[True, second[1:] != second[:-1]]
+        group, new = np.ones(len(order), bool), np.ones(len(order), bool)
+        group[1:] = first[1:] != first[:-1]
+        new[1:] = both[1:] != both[:-1]
         rank[order] = first + np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(group, at, 0))
-        size = np.bincount(rank[order], minlength=n)
-        open_ = open_[size[rank[open_]] > 1]
+        tied = ~new
+        tied[:-1] |= tied[1:]
+        open_ = order[tied]
         step *= 2
     return rank
 

@@ -21,6 +21,9 @@ OPEN = 16
 MERGED_TASKS = 64
 CACHE = 300_000
 CACHED_BYTES = 64
+#: Words encoded at once, and bytes of text whose new words are looked up first.
+TOGETHER = 256
+LEARNED_BYTES = 1 << 20
 
 _PIECE = "id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -35,27 +38,70 @@ class _Words(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        assert self.tokenizer.encode("a b", add_special_tokens=False).ids == [
-            i for part in ("a", "b") for i in self.tokenizer.encode(part, add_special_tokens=False).ids
-        ], "the tokenizer must drop white space"
+        assert self._ids("a b") == self._ids("a") + self._ids("b"), "the tokenizer must drop white space"
+        self.special = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def __missing__(self, part: bytes) -> bytes:
-        ids = np.array(self.tokenizer.encode(part.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        if len(part) <= CACHED_BYTES:
-            if len(self) >= CACHE:
-                self.clear()
-            self[part] = ids
+        return np.array(self._ids(part.decode()), "<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= CACHE:
+                self.pieces.clear()
+            ids = self.pieces[piece] = b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(piece))
         return ids
 
+    def learn(self, parts: set[bytes]) -> None:
+        """Holds the ids of short parts; many are normalised and cut at once, and each piece is encoded once.
+
+        A group with a special string, or in which a part holds white space of its own, is left
+        to be encoded part by part.
+        """
+        new = [p for p in parts.difference(self) if len(p) <= CACHED_BYTES]
+        if len(self) + len(new) > CACHE:
+            self.clear()
+            new = [p for p in parts if len(p) <= CACHED_BYTES]
+        for at in range(0, len(new), TOGETHER):
+            group = new[at : at + TOGETHER]
+            joined = b" ".join(group)
+            text = self.tokenizer.normalizer.normalize_str(joined.decode())
+            words = text.split(" ")
+            if len(words) != len(group) or any(s in joined for s in self.special):
+                self.update((part, self.__missing__(part)) for part in group)
+                continue
+            ends = np.cumsum([len(w) + 1 for w in words]).tolist()
+            ids: list[list[bytes]] = [[] for _ in group]
+            word = 0
+            for piece, (begin, _) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text):
+                while begin >= ends[word]:
+                    word += 1
+                ids[word].append(self._piece(piece))
+            self.update(zip(group, map(b"".join, ids)))
+
 
 @lru_cache(maxsize=2)
 def _words(path: str) -> _Words:
     return _Words(path)
 
 
-def token_ids(text: bytes | None, path: str, end_id: int) -> bytes:
-    """Ids of a text, then ``end_id``, as little-endian 32-bit integers."""
-    return b"".join(map(_words(path).__getitem__, (text or b"").split())) + np.uint32(end_id).astype("<u4").tobytes()
+def token_ids(texts: list[bytes | None], path: str, end_id: int):
+    """Ids of each text, then ``end_id``, as little-endian 32-bit integers."""
+    words, end = _words(path), np.uint32(end_id).astype("<u4").tobytes()
+    at = 0
+    while at < len(texts):
+        parts, size = [], 0
+        while at < len(texts) and size < LEARNED_BYTES:
+            parts.append((texts[at] or b"").split())
+            size += len(texts[at] or b"")
+            at += 1
+        words.learn(set().union(*parts))
+        for part in parts:
+            yield b"".join(map(words.__getitem__, part)) + end
 
 
 class Packer:
@@ -169,8 +215,8 @@ def pack(
         packer, number = Packer(length), task << 32
         for batch in batches:
             kind, full = batch.schema.field(0).type, []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = token_ids(text.as_py(), tokenizer_path, end_id)
+            texts = batch.column(1).to_pylist()
+            for doc_id, ids in zip(batch.column(0).to_pylist(), token_ids(texts, tokenizer_path, end_id)):
                 full += packer.take((doc_id, len(ids) // 4), 0, ids)
                 if len(full) >= 256:
                     yield _rows(full, number, kind, keep_ids)

@@ -22,9 +22,9 @@ LENGTH = 400
 GRAM = 32
 #: Bytes of text searched for anchors at once, and bytes of segments in a block.
 CHUNK = 1 << 20
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 #: Segments of an anchor hash that meet in one block; more are cut finer, FINE strings to a part.
-HOT = 2048
+HOT = 1024
 FINE = 16
 
 _BASE = 0x9E3779B97F4A7C15
