@@ -116,11 +116,11 @@ ORACLE_SQL = {
                           ELSE weight * max(CASE WHEN most / weight > level THEN level END) OVER () END AS target
               FROM l),
         c AS (SELECT d.doc_id, d.size, t.source_size, t.target,
-                     sum(d.size) OVER (PARTITION BY t.source ORDER BY d.o, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS at
+                     sum(d.size) OVER (PARTITION BY t.source ORDER BY d.o, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS pos
               FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
         SELECT doc_id, size, source_size, target,
-               CAST(greatest(0, least(at + size, floor(target)) - at)
-                    + greatest(0, least(source_size + at + size, floor(target)) - source_size - at) AS BIGINT) AS taken
+               CAST(greatest(0, least(pos + size, floor(target)) - pos)
+                    + greatest(0, least(source_size + pos + size, floor(target)) - source_size - pos) AS BIGINT) AS taken
         FROM c""",
 }
 

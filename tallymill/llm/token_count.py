@@ -25,6 +25,9 @@ BLOCK_BYTES = 24 << 20
 #: Distinct pre-tokens that a bucket receives from all blocks, on average.
 BUCKET_TOKENS = 250_000
 
+#: Characters on whose classes the pattern and the tokenizer are known to agree (tests compare all of them).
+_AGREED = regex.compile("[^\0-\u036f]")
+
 # Fixed value: the split pattern of byte-level pre-tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -37,7 +40,12 @@ def _tokenizer(path: str):
     tokenizer = Tokenizer.from_file(path)
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
-    words = regex.compile(PATTERN).findall
+    by_pattern = regex.compile(PATTERN).findall
+
+    def words(text: str) -> list[str]:
+        if _AGREED.search(text):
+            return [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+        return by_pattern(text)
 
     def pieces(text: str) -> list[str]:
         if cut is None or not any(s in text for s in special):
