@@ -12,6 +12,7 @@ TICKS_PER_HOUR = 3
 HOURS_PER_DAY = 24
 HOURS = TICKS // TICKS_PER_HOUR
 DAYS = HOURS // HOURS_PER_DAY
+SLIDING_HOURS = TICKS - TICKS_PER_HOUR + 1
 
 
 def ticks_from_columns(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -22,6 +23,7 @@ def ticks_from_columns(df: DataFrame, keys: list[str], columns: list[str]) -> Da
 def ticks_from_rows(df: DataFrame, keys: list[str], slot: str, value: str, length: int = TICKS) -> DataFrame:
     """(keys..., ticks array) from rows (keys..., slot from 1, value); missing slots are 0.
 
+    Rows whose slot is not in 1..``length``, or null, lie outside the series and are left out.
     Values are summed per slot first, so an entity never gathers more than ``length`` rows.
     """
     inside = df.where(F.col(slot).between(1, length))
@@ -32,19 +34,23 @@ def ticks_from_rows(df: DataFrame, keys: list[str], slot: str, value: str, lengt
     return packed.select(*keys, dense.alias("ticks"))
 
 
-def hourly_means(ticks: DataFrame, keys: list[str], stride: int = 1, length: int = TICKS) -> DataFrame:
-    """(keys..., hours array) of means over three ticks.
+def hourly_means(
+    ticks: DataFrame, keys: list[str], stride: int = 1, length: int = TICKS, outputs: int | None = None
+) -> DataFrame:
+    """(keys..., hours array) of means over three ticks, for every full frame of the series.
 
-    Stride 1 slides by one tick and stride 3 gives separate hours; both return one
-    value per hour of the series.
+    Stride 1 slides by one tick and stride 3 gives separate hours. ``outputs`` keeps only the
+    first frames.
     """
-    hours = sliding_means(F.col("ticks"), length, TICKS_PER_HOUR, stride, outputs=length // TICKS_PER_HOUR)
+    hours = sliding_means(F.col("ticks"), length, TICKS_PER_HOUR, stride, outputs=outputs)
     return ticks.select(*keys, hours.alias("hours"))
 
 
-def daily_means(hours: DataFrame, keys: list[str], stride: int = 1, length: int = HOURS) -> DataFrame:
-    """(keys..., days array) of means over 24 hourly values; stride as in :func:`hourly_means`."""
-    days = sliding_means(F.col("hours"), length, HOURS_PER_DAY, stride, outputs=length // HOURS_PER_DAY)
+def daily_means(
+    hours: DataFrame, keys: list[str], stride: int = 1, length: int = SLIDING_HOURS, outputs: int | None = None
+) -> DataFrame:
+    """(keys..., days array) of means over 24 of ``length`` hourly values; stride and outputs as in :func:`hourly_means`."""
+    days = sliding_means(F.col("hours"), length, HOURS_PER_DAY, stride, outputs=outputs)
     return hours.select(*keys, days.alias("days"))
 
 

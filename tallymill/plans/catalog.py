@@ -64,7 +64,9 @@ def popularity_hourly(spark, sf, stride=1):
 def popularity_daily(spark, sf, stride=1):
     keys = ["entity", "block"]
     ticks = popularity.ticks_from_rows(tables.tick_rows(spark, sf), keys, "slot", "value")
-    days = popularity.daily_means(popularity.hourly_means(ticks, keys, popularity.TICKS_PER_HOUR if stride > 1 else 1), keys, stride)
+    separate = stride > 1
+    hours = popularity.hourly_means(ticks, keys, popularity.TICKS_PER_HOUR if separate else 1)
+    days = popularity.daily_means(hours, keys, stride, popularity.HOURS if separate else popularity.SLIDING_HOURS)
     return _rounded(popularity.as_rows(days, keys, "days", "avg_day"), "avg_day")
 
 

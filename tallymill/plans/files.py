@@ -90,7 +90,7 @@ def user_file_ages(spark, sf) -> DataFrame:
     """Users separated by ``::`` as they are read back."""
     path = shared_folder(spark, "users")
     people = tables.load(spark, sf, "customer")
-    # Every other occupation is out of the range of its type and has to come back as null.
+    # Every other occupation would not fit a byte and has to come back all the same.
     occupation = F.col("c_nationkey") + F.col("c_custkey") % 2 * 200
     user = F.concat_ws("::", "c_custkey", F.substring("c_mktsegment", 1, 1), "c_nationkey", occupation, F.col("c_custkey") + 10000)
     people.select(user).write.text(path)

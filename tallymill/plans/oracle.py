@@ -72,7 +72,7 @@ TICKS = f"""ticks AS (
 def _hours(stride: int) -> str:
     return f"""hours AS (
   SELECT entity, block, i AS slot, sum(v) / 3 AS avg_hour
-  FROM ticks JOIN (SELECT unnest(range(1, 49)) AS i) ON slot BETWEEN 1 + (i - 1) * {stride} AND 3 + (i - 1) * {stride}
+  FROM ticks JOIN (SELECT unnest(range(1, (144 - 3) // {stride} + 2)) AS i) ON slot BETWEEN 1 + (i - 1) * {stride} AND 3 + (i - 1) * {stride}
   GROUP BY ALL)"""
 
 
@@ -84,7 +84,7 @@ SELECT entity, block::INT AS block, slot::INT AS slot, round(avg_hour, 6) AS avg
 def _daily(hour_stride: int, stride: int) -> str:
     return f"""WITH {TICKS}, {_hours(hour_stride)}
 SELECT entity, block::INT AS block, i::INT AS slot, round(sum(avg_hour) / 24, 6) AS avg_day
-FROM hours JOIN (SELECT unnest([1, 2]) AS i) ON slot BETWEEN 1 + (i - 1) * {stride} AND 24 + (i - 1) * {stride}
+FROM hours JOIN (SELECT unnest(range(1, ((144 - 3) // {hour_stride} + 1 - 24) // {stride} + 2)) AS i) ON slot BETWEEN 1 + (i - 1) * {stride} AND 24 + (i - 1) * {stride}
 GROUP BY ALL"""
 
 
@@ -135,9 +135,9 @@ FROM documents CROSS JOIN pairs LEFT JOIN least USING (doc_id, hash_idx)"""
 
 CORPUS = rf"""
 WITH found AS (
-  SELECT page_id, unnest(regexp_extract_all(html, '(?is)<html\b[^>]*>(.*?)</html\s*>', 1)) AS record,
-         generate_subscripts(regexp_extract_all(html, '(?is)<html\b[^>]*>(.*?)</html\s*>', 1), 1) - 1 AS position
-  FROM pages),
+  SELECT page_id, regexp_replace(unnest(parts[2:]), '(?is)</html\s*>.*', '') AS record,
+         generate_subscripts(parts[2:], 1) - 1 AS position
+  FROM (SELECT page_id, string_split_regex(html, '(?i)<html\b[^>]*>') AS parts FROM pages)),
 bodies AS (
   SELECT page_id, position::INT AS position,
          replace(replace(replace(replace(replace(regexp_extract(record, '(?is)<title\b[^>]*>([^<]*)', 1),
@@ -205,7 +205,7 @@ FORECAST = f"""
 WITH {HIRES}, aged AS (SELECT *, date_diff('day', DATE '{tables.FIRST_DAY}', day) AS age FROM hires),
 means AS (
   SELECT zone, isodow(day) AS weekday, hour, trunc(avg(hires))::INT AS hires FROM aged WHERE age < {tables.TRAIN_DAYS} GROUP BY ALL)
-SELECT ((age * 24 + aged.hour) * {tables.ZONES} + aged.zone)::INT AS test_id, aged.zone, day, aged.hour, means.hires
+SELECT ((age * 24 + aged.hour) * {tables.ZONES} + aged.zone)::BIGINT AS test_id, aged.zone, day, aged.hour, means.hires
 FROM aged LEFT JOIN means ON means.zone = aged.zone AND means.hour = aged.hour AND means.weekday = isodow(day)
 WHERE age >= {tables.TRAIN_DAYS}"""
 DATE_SLICE = f"""
@@ -230,13 +230,13 @@ SELECT ['Facebook', 'GooglePlus', 'LinkedIn'][block % 3 + 1] AS platform,
        (block * 10 + list_position(['click', 'error', 'purchase', 'signup', 'view'], entity))::INT AS item,
        slot::INT AS slot, round(avg_hour, 6) AS avg_hour FROM hours"""
 MOVIE_FILES = """
-SELECT p_partkey::INT AS "MovieID", p_name || ', The (1995): ' || p_type || '+' || p_brand AS "Title", round(avg(l_quantity), 6) AS average
+SELECT p_partkey::BIGINT AS "MovieID", p_name || ', The (1995): ' || p_type || '+' || p_brand AS "Title", round(avg(l_quantity), 6) AS average
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL"""
 USER_FILE = """
-SELECT c_custkey::INT AS "UserID", c_mktsegment[1] AS "Gender", c_nationkey::INT AS "Age",
-       CASE WHEN c_custkey % 2 = 0 THEN c_nationkey END::INT AS "Occupation",
+SELECT c_custkey::BIGINT AS "UserID", c_mktsegment[1] AS "Gender", c_nationkey::INT AS "Age",
+       (c_nationkey + c_custkey % 2 * 200)::INT AS "Occupation",
        (c_custkey + 10000)::INT AS zip FROM customer"""
-EDGE_FILE = "SELECT l_partkey::INT AS src, count(DISTINCT l_suppkey) AS degree FROM lineitem GROUP BY l_partkey"
+EDGE_FILE = "SELECT l_partkey::BIGINT AS src, count(DISTINCT l_suppkey) AS degree FROM lineitem GROUP BY l_partkey"
 GPS_FILE = f"""
 SELECT (user_id % {tables.ZONES} + 1)::INT AS zone, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, count(ts) AS n_parsed,
        max(hour(ts))::INT AS last_hour FROM events GROUP BY ALL"""

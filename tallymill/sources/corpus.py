@@ -1,7 +1,7 @@
 """Tagged article files: records between tags, with the text in an inner tag.
 
-Subset of markup understood: records are not nested, tag names go in any case and may
-carry attributes, the text of a record is what stands between its first text tag and
+Subset of markup understood: a record goes from its opening tag to its closing tag, the next
+opening tag or the end, tag names go in any case and may carry attributes, the text of a record is what stands between its first text tag and
 the next tag, and the five predefined entities are decoded.
 """
 
@@ -18,7 +18,8 @@ ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"
 
 def records(df: DataFrame, text: str, keep: list[str], record_tag: str = schemas.RECORD_TAG) -> DataFrame:
     """(keep..., position, record): every tagged record of a text, numbered from 0."""
-    found = F.regexp_extract_all(F.col(text), F.lit(rf"(?is)<{record_tag}\b[^>]*>(.*?)</{record_tag}\s*>"), F.lit(1))
+    pattern = rf"(?is)<{record_tag}\b[^>]*>(.*?)(?=</{record_tag}\s*>|<{record_tag}\b|\z)"
+    found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))
     return df.select(*keep, F.posexplode_outer(found).alias("position", "record")).where(F.col("position").isNotNull())
 
 
@@ -47,15 +48,12 @@ def read_corpus(spark: SparkSession, path, record_tag: str = schemas.RECORD_TAG,
 def read_large_corpus(spark: SparkSession, path, closing_tag: str, body_tag: str = schemas.BODY_TAG) -> DataFrame:
     """(file, position, body, words) of files of any size, cut at the exact closing tag.
 
-    A file is split over tasks between records. ``position`` is unique and grows
-    within a file but has gaps.
+    A file is split over tasks between records; a piece holds several records where closing
+    tags are missing or written otherwise, and all of them are returned. ``position`` is unique
+    and grows within a file but has gaps and depends on the splits.
     """
-    pieces = spark.read.text(path, lineSep=closing_tag)
-    opening = closing_tag.strip("</>")
-    whole = pieces.where(F.col("value").rlike(rf"(?i)<{opening}\b"))
-    bodies = whole.select(
-        F.col("_metadata.file_name").alias("file"),
-        F.monotonically_increasing_id().alias("position"),
-        body_text(F.col("value"), body_tag).alias("body"),
-    )
+    pieces = spark.read.text(path, lineSep=closing_tag).select(F.col("_metadata.file_name").alias("file"), "value")
+    found = records(pieces, "value", ["file"], closing_tag.strip("</>")).drop("position")
+    position = F.monotonically_increasing_id().alias("position")
+    bodies = found.select("file", position, body_text(F.col("record"), body_tag).alias("body"))
     return with_plain_words(bodies, "body", ["file", "position", "body"])

@@ -62,7 +62,7 @@ def read_hires(spark: SparkSession, path) -> DataFrame:
 def read_hire_tests(spark: SparkSession, path) -> DataFrame:
     """(test_id, zone, day, hour, hires) rows to forecast."""
     df = read_delimited(spark, path, schemas.HIRE_TEST, header=True)
-    return _hire_columns(df, F.col("Test_ID").cast("int").alias("test_id"))
+    return _hire_columns(df, F.col("Test_ID").alias("test_id"))
 
 
 def _hire_columns(df: DataFrame, *first) -> DataFrame:

@@ -7,17 +7,17 @@ POWER = (
     "Global_intensity float, Sub_metering_1 float, Sub_metering_2 float, Sub_metering_3 float"
 )
 NEWS = (
-    "IDLink int, Title string, Headline string, Source string, Topic string, PublishDate timestamp, "
+    "IDLink bigint, Title string, Headline string, Source string, Topic string, PublishDate timestamp, "
     "SentimentTitle float, SentimentHeadline float, Facebook float, GooglePlus float, LinkedIn float"
 )
-MOVIES = "MovieID int, Title string, Genre string"
-RATINGS = "UserID int, MovieID int, Rating float, Timestamp int"
-USERS = "UserID int, Gender string, Age byte, Occupation byte, `Zip-code` int"
-EDGES = "FromNodeId int, ToNodeId int"
-HIRE_TRAIN = "Zone_ID byte, Date date, Hour_slot byte, Hire_count short"
-HIRE_TEST = "Test_ID short, Zone_ID byte, Date date, Hour_slot byte, Hire_count byte"
-GPS = "Datetime string, Longitude_X float, Latitude_Y float, Zone_ID byte"
-ZONES = "Zone_ID byte, left float, top float, right float, bottom float"
+MOVIES = "MovieID bigint, Title string, Genre string"
+RATINGS = "UserID bigint, MovieID bigint, Rating float, Timestamp bigint"
+USERS = "UserID bigint, Gender string, Age int, Occupation int, `Zip-code` int"
+EDGES = "FromNodeId bigint, ToNodeId bigint"
+HIRE_TRAIN = "Zone_ID int, Date date, Hour_slot int, Hire_count int"
+HIRE_TEST = "Test_ID bigint, Zone_ID int, Date date, Hour_slot int, Hire_count int"
+GPS = "Datetime string, Longitude_X float, Latitude_Y float, Zone_ID int"
+ZONES = "Zone_ID int, left float, top float, right float, bottom float"
 
 TOPICS = ["obama", "economy", "palestine", "microsoft"]
 PLATFORMS = ["Facebook", "GooglePlus", "LinkedIn"]

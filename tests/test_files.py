@@ -68,7 +68,7 @@ def test_hires_gps_and_zones(spark, tmp_path):
     gps = put(tmp_path / "c", "x.csv", "Datetime,Longitude_X,Latitude_Y,Zone_ID\n2016-02-01 08:15:30.123,1.5,2.5,4\nnonsense,1,1,4\n")
     zones = put(tmp_path / "d", "x.csv", "Zone_ID,left,top,right,bottom\n1,0,9,5,4\n")
     day = datetime.date(2016, 2, 1)
-    assert {tuple(r) for r in delimited.read_hires(spark, train).collect()} == {(1, day, 8, 300), (None, day, 8, 1)}
+    assert {tuple(r) for r in delimited.read_hires(spark, train).collect()} == {(1, day, 8, 300), (300, day, 8, 1)}
     assert tuple(delimited.read_hire_tests(spark, test).first()) == (5, 1, datetime.date(2016, 2, 2), 9, None)
     good, bad = delimited.read_gps(spark, gps).collect()
     assert tuple(good) == (datetime.datetime(2016, 2, 1, 8, 15, 30), "2016-02-01", 1.5, 2.5, 4)
@@ -147,3 +147,25 @@ def test_link_lines(spark, tmp_path):
     edges = spark.createDataFrame([(0, 1), (0, 1), (0, 2), (3, 0)], "src int, dst int")
     writers.write_links(links.node_links(edges, 0), str(tmp_path / "l"))
     assert joined(tmp_path / "l" / "direction=out") == "1,1,2," and joined(tmp_path / "l" / "direction=in") == "3,"
+
+
+def test_large_ids_and_counts_survive(spark, tmp_path):
+    edges = tmp_path / "edges.txt"
+    edges.write_text("# comment\n3000000000\t1\n3000000001\t1\n")
+    assert sorted(r[0] for r in delimited.read_edges(spark, str(edges)).collect()) == [3000000000, 3000000001]
+    train = tmp_path / "train.csv"
+    train.write_text("Zone_ID,Date,Hour_slot,Hire_count\n300,2016-02-01,8,40000\n")
+    row = delimited.read_hires(spark, str(train)).first()
+    assert (row.zone, row.hires) == (300, 40000)
+
+
+def test_records_without_closing_tag_are_kept(spark, tmp_path):
+    path = tmp_path / "open"
+    path.mkdir()
+    (path / "a.sgm").write_text(
+        "<REUTERS><BODY>one</BODY></REUTERS><reuters><body>two</body></reuters>"
+        "<REUTERS><BODY>three</BODY><REUTERS><BODY>four</BODY>"
+    )
+    small = corpus.read_corpus(spark, str(path)).orderBy("position")
+    large = corpus.read_large_corpus(spark, str(path), closing_tag="</REUTERS>").orderBy("position")
+    assert [r.body for r in small.collect()] == [r.body for r in large.collect()] == ["one", "two", "three", "four"]

@@ -6,11 +6,11 @@ import compare
 import pytest
 
 import __spark_entry__
-from tallymill.plans import catalog, tables
+from tallymill.plans import catalog, oracle, tables
 
 FOLDER = str(compare.SF_ROOT / "sf0.001")
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracle.oracle_sql()
 NO_ORACLE = {"forest_forecast", "forest_rmse"}
 
 pytestmark = pytest.mark.skipif(not compare.SF_ROOT.exists(), reason="needs the test tables")
@@ -35,6 +35,10 @@ def test_forest_queries_return_rows(spark, name):
     assert QUERIES[name](spark, FOLDER).count() > 0
 
 
+def test_entry_registers_all_queries():
+    assert set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).columns == ["topic", "word", "n"]
 

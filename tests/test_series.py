@@ -38,10 +38,11 @@ def test_wide_ticks_to_hours_and_days(spark):
     df = spark.createDataFrame([(7, *[float(i) for i in range(1, 145)])], ", ".join(["id int", *(f"{c} double" for c in columns)]))
     ticks = popularity.ticks_from_columns(df, ["id"], columns)
     hours = popularity.hourly_means(ticks, ["id"])
-    assert hours.first().hours == [float(i + 1) for i in range(1, 49)]
+    assert hours.first().hours == [float(i + 1) for i in range(1, 143)]
+    assert popularity.hourly_means(ticks, ["id"], outputs=48).first().hours == [float(i + 1) for i in range(1, 49)]
     days = popularity.daily_means(hours, ["id"])
-    assert days.first().days == [13.5, 14.5]
-    separate = popularity.daily_means(popularity.hourly_means(ticks, ["id"], stride=3), ["id"], stride=24)
+    assert days.first().days == [i + 12.5 for i in range(1, 120)]
+    separate = popularity.daily_means(popularity.hourly_means(ticks, ["id"], stride=3), ["id"], stride=24, length=popularity.HOURS)
     assert separate.first().days == [36.5, 108.5]
     wide = popularity.as_columns(days, ["id"], "days", "avg_day", 2)
     assert wide.columns == ["id", "avg_day1", "avg_day2"]
