@@ -7,81 +7,111 @@ emitted full, and the rest goes on. What the tasks have left open is merged afte
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tallymill.session import written_table
 
-#: Open windows per task, tasks whose leftovers are merged together, and cached words.
+#: Open windows per task, and tasks whose leftovers are merged together.
 OPEN = 16
 MERGED_TASKS = 64
-CACHE = 300_000
-CACHED_BYTES = 64
-#: Words encoded at once, and bytes of text whose new words are looked up first.
-TOGETHER = 256
-LEARNED_BYTES = 1 << 20
+#: Pieces and words whose ids a task holds, each of so many characters at most; some 150 MB each when full.
+CACHED = 600_000
+CACHED_LENGTH = 64
+#: Bytes of text whose words are looked up at once; a longer text goes alone.
+TOGETHER = 8 << 20
 
 _PIECE = "id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-class _Words(dict):
-    """Ids, as little-endian 32-bit integers, by a text's parts between ASCII white space.
+# The split pattern of the tokenizer for the printable characters of Latin-1 in lower case.
+_LETTERS, _NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
+_PIECE_OF_WORD = f"('s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}]+)"
+_LATIN = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x100))]
+_NOT_LATIN = "[^!-~¡-ÿ]"
 
-    No id of the tokenizer spans white space, so the ids of a text are those of its parts.
+
+class _Held(dict):
+    """Ids, as little-endian 32-bit integers, of texts that ``encode`` has turned into ids; forgets all when full."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, text: str) -> bytes:
+        found = self.encode(text)
+        ids = struct.pack(f"<{len(found)}I", *found)
+        if len(text) <= CACHED_LENGTH:
+            if len(self) >= CACHED:
+                self.clear()
+            self[text] = ids
+        return ids
+
+    def all(self, texts: pa.Array) -> pa.Array:
+        return pa.array(list(map(self.__getitem__, texts.to_numpy(zero_copy_only=False))), pa.large_binary())
+
+
+def _joined(parts: pa.Array, ends: np.ndarray) -> pa.Array:
+    """Binary values, those up to each of ``ends`` made one."""
+    places = np.r_[0, np.cumsum(pc.binary_length(parts).to_numpy(zero_copy_only=False))]
+    offsets = places[np.r_[0, ends]].astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), parts.buffers()[2]])
+
+
+def _ends(lists: pa.Array) -> np.ndarray:
+    return np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+
+
+def _cut(words: pa.Array) -> pa.Array:
+    """Pieces of words of Latin-1 characters."""
+    return pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(words), _PIECE_OF_WORD, r"\1 "))
+
+
+class _Words:
+    """Ids of words, which are the parts of a text between ASCII white space.
+
+    No id of the tokenizer spans white space, so the ids of a text are those of its words. Words
+    of Latin-1 characters are put in lower case and cut into pieces by Arrow, and the tokenizer's
+    model turns a piece into ids; all others, and those with a special string, go through the whole
+    tokenizer. So does everything if the tokenizer cuts a sample of these characters otherwise.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        assert self._ids("a b") == self._ids("a") + self._ids("b"), "the tokenizer must drop white space"
-        self.special = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def __missing__(self, part: bytes) -> bytes:
-        return np.array(self._ids(part.decode()), "<u4").tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= CACHE:
-                self.pieces.clear()
-            ids = self.pieces[piece] = b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(piece))
-        return ids
-
-    def learn(self, parts: set[bytes]) -> None:
-        """Holds the ids of short parts; many are normalised and cut at once, and each piece is encoded once.
-
-        A group with a special string, or in which a part holds white space of its own, is left
-        to be encoded part by part.
-        """
-        new = [p for p in parts.difference(self) if len(p) <= CACHED_BYTES]
-        if len(self) + len(new) > CACHE:
-            self.clear()
-            new = [p for p in parts if len(p) <= CACHED_BYTES]
-        for at in range(0, len(new), TOGETHER):
-            group = new[at : at + TOGETHER]
-            joined = b" ".join(group)
-            text = self.tokenizer.normalizer.normalize_str(joined.decode())
-            words = text.split(" ")
-            if len(words) != len(group) or any(s in joined for s in self.special):
-                self.update((part, self.__missing__(part)) for part in group)
-                continue
-            ends = np.cumsum([len(w) + 1 for w in words]).tolist()
-            ids: list[list[bytes]] = [[] for _ in group]
-            word = 0
-            for piece, (begin, _) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text):
-                while begin >= ends[word]:
-                    word += 1
-                ids[word].append(self._piece(piece))
-            self.update(zip(group, map(b"".join, ids)))
+        self.words = _Held(lambda word: self.tokenizer.encode(word, add_special_tokens=False).ids)
+        assert self.words["a b"] == self.words["a"] + self.words["b"], "the tokenizer must drop white space"
+        bytes_of = {ord(c): "".join(self._pieces(c.lower())) for c in _LATIN if not c.isascii()}
+        tokenize = self.tokenizer.model.tokenize
+        self.pieces = _Held(lambda piece: [t.id for t in tokenize(piece if piece.isascii() else piece.translate(bytes_of))])
+        special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([_NOT_LATIN, *map(re.escape, special)])
+        sample = [f"a{c}{c}'LL1{c}'" for c in _LATIN]
+        cut = [[piece.translate(bytes_of) for piece in pieces if piece] for pieces in _cut(pa.array(sample)).to_pylist()]
+        if cut != [self._pieces(word) for word in sample]:
+            self.odd = ""
+
+    def _pieces(self, word: str) -> list[str]:
+        normalizer, cutter = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        word = normalizer.normalize_str(word) if normalizer else word
+        return [piece for piece, _ in cutter.pre_tokenize_str(word)] if cutter else [word]
+
+    def ids(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words, as little-endian 32-bit integers."""
+        odd = pc.match_substring_regex(words, self.odd)
+        cut = _cut(words.filter(pc.invert(odd)))
+        pieces = cut.flatten().dictionary_encode()
+        plain = _joined(self.pieces.all(pieces.dictionary).take(pieces.indices), _ends(cut))
+        both = pa.concat_arrays([plain, self.words.all(words.filter(odd))])
+        odd = odd.to_numpy(zero_copy_only=False)
+        return both.take(pa.array(np.where(odd, len(plain) + np.cumsum(odd) - 1, np.cumsum(~odd) - 1)))
 
 
 @lru_cache(maxsize=2)
@@ -89,19 +119,22 @@ def _words(path: str) -> _Words:
     return _Words(path)
 
 
-def token_ids(texts: list[bytes | None], path: str, end_id: int):
-    """Ids of each text, then ``end_id``, as little-endian 32-bit integers."""
-    words, end = _words(path), np.uint32(end_id).astype("<u4").tobytes()
+def token_ids(texts: pa.Array, path: str, end_id: int):
+    """Ids of each text (null: empty), then ``end_id``, as little-endian 32-bit integers.
+
+    The distinct words of ``TOGETHER`` bytes of text are looked up once; Arrow puts their ids in the order of the words.
+    """
+    end = struct.pack("<I", end_id)
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    sums = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     at = 0
     while at < len(texts):
-        parts, size = [], 0
-        while at < len(texts) and size < LEARNED_BYTES:
-            parts.append((texts[at] or b"").split())
-            size += len(texts[at] or b"")
-            at += 1
-        words.learn(set().union(*parts))
-        for part in parts:
-            yield b"".join(map(words.__getitem__, part)) + end
+        upto = max(at + 1, int(np.searchsorted(sums, TOGETHER + (sums[at - 1] if at else 0), "right")))
+        split = pc.ascii_split_whitespace(texts[at:upto])
+        words = split.flatten().dictionary_encode()
+        ids = _joined(_words(path).ids(words.dictionary).take(words.indices), _ends(split))
+        yield from (text.as_py() + end for text in ids)
+        at = upto
 
 
 class Packer:
@@ -215,8 +248,7 @@ def pack(
         packer, number = Packer(length), task << 32
         for batch in batches:
             kind, full = batch.schema.field(0).type, []
-            texts = batch.column(1).to_pylist()
-            for doc_id, ids in zip(batch.column(0).to_pylist(), token_ids(texts, tokenizer_path, end_id)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), token_ids(batch.column(1), tokenizer_path, end_id)):
                 full += packer.take((doc_id, len(ids) // 4), 0, ids)
                 if len(full) >= 256:
                     yield _rows(full, number, kind, keep_ids)
@@ -233,7 +265,7 @@ def pack(
         first = (1 << 62) + (table["merged"][0].as_py() << 32)
         return pa.Table.from_batches([_rows(windows, first, kind, keep_ids)])
 
-    chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("binary").alias("text"))
+    chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     shape = _PIECE.format(kind=id_kind)
     pieces = written_table(chosen.mapInArrow(cut, shape), "pieces")
     left = pieces.where("offset is null").withColumn("merged", F.shiftright(F.shiftright("sequence_id", 32), MERGED_TASKS.bit_length() - 1))

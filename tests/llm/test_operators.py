@@ -8,6 +8,7 @@ import zlib
 import compare
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -291,3 +292,14 @@ def test_pipeline(spark, tmp_path, docs):
     for _, stage in corpus_pipeline.STAGES:
         odd = stage(spark, odd, folder)
     assert odd.count() > 0
+
+
+def test_packing_ids_are_those_of_the_tokenizer():
+    rng = np.random.default_rng(8)
+    tokenizer = Tokenizer.from_file(queries.WORD_BPE)
+    odd = ["", " ", "İİ Σσς ΑΣ", "áb é", "<|endoftext|>x", "x<|startoftext|> y<|endoftext|>", "\x1c a\x85b\xa0c", "日本語 текст", "'LL don't I'VE ²³¼ ½a_b", "a\x00b ​ x\xady", "x" * 500]
+    mixed = ["".join(rng.choice([*packing._LATIN, "'", "s", "'ll", " ", "\n"], 30)) for _ in range(2000)]
+    texts = odd + mixed + ["".join(map(chr, range(0x250)))]
+    wanted = [np.array(tokenizer.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes() for t in texts]
+    assert packing._words(queries.WORD_BPE).odd and list(packing.token_ids(pa.array(texts), queries.WORD_BPE, 1)) == wanted
+    assert list(packing.token_ids(pa.array([None, "a"]), queries.WORD_BPE, 1))[0] == np.uint32(1).tobytes()
