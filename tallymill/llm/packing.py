@@ -22,11 +22,11 @@ from tallymill.session import written_table
 #: Open windows per task, and tasks whose leftovers are merged together.
 OPEN = 16
 MERGED_TASKS = 64
-#: Pieces and words whose ids a task holds, each of so many characters at most; some 150 MB each when full.
-CACHED = 600_000
+#: Pieces and words whose ids a task holds, each of so many characters at most; some 70 MB each when full.
+CACHED = 300_000
 CACHED_LENGTH = 64
 #: Bytes of text whose words are looked up at once; a longer text goes alone.
-TOGETHER = 8 << 20
+TOGETHER = 2 << 20
 
 _PIECE = "id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -125,16 +125,17 @@ def token_ids(texts: pa.Array, path: str, end_id: int):
     The distinct words of ``TOGETHER`` bytes of text are looked up once; Arrow puts their ids in the order of the words.
     """
     end = struct.pack("<I", end_id)
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    sums = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    sums = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(texts):
         upto = max(at + 1, int(np.searchsorted(sums, TOGETHER + (sums[at - 1] if at else 0), "right")))
-        split = pc.ascii_split_whitespace(texts[at:upto])
+        split = pc.ascii_split_whitespace(pc.fill_null(texts[at:upto].cast(pa.large_string()), ""))
         words = split.flatten().dictionary_encode()
         ids = _joined(_words(path).ids(words.dictionary).take(words.indices), _ends(split))
         yield from (text.as_py() + end for text in ids)
         at = upto
+        del split, words, ids
+    pa.default_memory_pool().release_unused()
 
 
 class Packer:
