@@ -98,6 +98,12 @@ class _Words:
         if cut != [self._pieces(word) for word in sample]:
             self.odd = ""
 
+    def forget(self) -> None:
+        """Frees the ids held: Spark keeps a Python worker for later stages, with all its memory."""
+        self.words.clear()
+        self.pieces.clear()
+        pa.default_memory_pool().release_unused()
+
     def _pieces(self, word: str) -> list[str]:
         normalizer, cutter = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         word = normalizer.normalize_str(word) if normalizer else word
@@ -134,8 +140,6 @@ def token_ids(texts: pa.Array, path: str, end_id: int):
         ids = _joined(_words(path).ids(words.dictionary).take(words.indices), _ends(split))
         yield from (text.as_py() + end for text in ids)
         at = upto
-        del split, words, ids
-    pa.default_memory_pool().release_unused()
 
 
 class Packer:
@@ -256,6 +260,7 @@ def pack(
                     number, full = number + len(full), []
             yield _rows(full, number, kind, keep_ids)
             number += len(full)
+        _words(tokenizer_path).forget()
         if packer.rest():
             yield _rows(packer.rest(), number, kind, True, leftover=True)
 
