@@ -22,12 +22,15 @@ ROUNDS = 8
 WIDE = 64
 _FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
+#: What stands before the value of a secret, in any case, with or without blanks and quotes.
+_KEYWORD = r"""(?i:password|token|api_key)["']?[ \t]*[=:][ \t]*["']?"""
+
 # The written forms that are looked for. Order decides where two start at one place.
 FORMS = {
     "email": r"(?<![\w.+%-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "secret": r"(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9])"
-    r"|(?<=password=)[\w+/-]{8,}|(?<=token = \")[\w+/-]{8,}|(?<=token=)[\w+/-]{8,}|(?<=api_key=)[\w+/-]{8,}"
-    r"|(?<![0-9A-Za-z])(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{32,}(?![0-9A-Za-z])",
+    rf"|{_KEYWORD}(?!{_KEYWORD}|[\w.%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9])(?P<value>[\w+/-]{{8,}})"
+    r"|(?<![0-9A-Za-z])(?=[a-fA-F]*[0-9])(?=[0-9]*[a-fA-F])[0-9a-fA-F]{32,}(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
     "ip": r"(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[\w])",
     "date": r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\w/-]|\.[0-9])",
@@ -36,7 +39,7 @@ FORMS = {
     "phone": r"(?<![\w.+-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-]?[0-9]{4}(?![\w-]|\.[0-9])",
 }
 _FIND = re.compile("|".join(f"(?P<{kind}>{FORMS[kind]})" for kind in KINDS))
-_MAYBE = re.compile("[0-9@]|AKIA|password=|token|api_key=")
+_MAYBE = re.compile("[0-9@]|AKIA|(?i:password|token|api_key)")
 
 
 class Pseudonyms:
@@ -66,7 +69,7 @@ class Pseudonyms:
         """Digits and letters permuted within their classes, other characters kept."""
         if len(text) > WIDE:
             return "".join(self.characters(kind, text[i : i + WIDE]) for i in range(0, len(text), WIDE))
-        hexadecimal = re.fullmatch("[0-9a-f]{16,}", text)
+        hexadecimal = kind == "secret" and re.fullmatch("[0-9a-f]{16,}", text)
         sets = [
             "0123456789abcdef" if hexadecimal else next((s for s in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") if c in s), c)
             for c in text
@@ -85,6 +88,8 @@ class Pseudonyms:
         return self.characters("email", name) + "@" + host
 
     def _secret(self, text: str) -> str:
+        if re.fullmatch("[0-9A-F]{16,}", text) and not text.isdigit():  # the same pseudonym as in small letters
+            return self.characters("secret", text.lower()).upper()
         head = "AKIA" if text.startswith("AKIA") and len(text) == 20 else ""
         return head + self.characters("secret", text[len(head) :])
 
@@ -143,13 +148,14 @@ class Pseudonyms:
             return text, found
         out, done, at = [], 0, 0
         while m := _FIND.search(text, at):
-            new = getattr(self, f"_{m.lastgroup}")(m.group())
+            start, end = m.span("value" if m["value"] else 0)
+            new = getattr(self, f"_{m.lastgroup}")(text[start:end])
             if new is None:  # the form without the check: other forms may start inside it
-                at = m.start() + 1
+                at = start + 1
                 continue
-            found.append((m.lastgroup, m.start(), m.end() - m.start()))
-            out += [text[done : m.start()], new]
-            done = at = m.end()
+            found.append((m.lastgroup, start, end - start))
+            out += [text[done:start], new]
+            done = at = end
         return "".join([*out, text[done:]]), found
 
 
