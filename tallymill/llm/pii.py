@@ -33,12 +33,15 @@ FORMS = {
     r"|(?<![0-9A-Za-z])(?=[a-fA-F]*[0-9])(?=[0-9]*[a-fA-F])[0-9a-fA-F]{32,}(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
     "ip": r"(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[\w])",
-    "date": r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\w/-]|\.[0-9])",
+    "date": r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?!(?![Tt](?:[01][0-9]|2[0-4]))[\w/-]|\.[0-9])",
     "card": r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-]|\.[0-9])",
     "ssn": r"(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]|\.[0-9])",
     "phone": r"(?<![\w.+-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-]?[0-9]{4}(?![\w-]|\.[0-9])",
 }
 _FIND = re.compile("|".join(f"(?P<{kind}>{FORMS[kind]})" for kind in KINDS))
+_ONE = {kind: re.compile(form) for kind, form in FORMS.items()}
+#: Forms that take further groups of digits or letters after a blank or hyphen: a shorter value may end before each.
+_GROUPED = {"iban": re.compile("(?= )"), "card": re.compile("(?=[ -])")}
 _MAYBE = re.compile("[0-9@]|AKIA|(?i:password|token|api_key)")
 
 
@@ -120,7 +123,7 @@ class Pseudonyms:
 
     def _card(self, text: str) -> str | None:
         plain = re.sub("[ -]", "", text)
-        if _luhn(plain[:-1]) != plain[-1] or len(set(plain)) == 1:
+        if not 13 <= len(plain) <= 19 or _luhn(plain[:-1]) != plain[-1] or len(set(plain)) == 1:
             return None
         payload = self.characters("card", plain[:-1])
         return _laid(text, payload + _luhn(payload))
@@ -141,6 +144,24 @@ class Pseudonyms:
         kept = len(code[1]) if code else max(0, len(digits) - 10)
         return _laid(text, digits[:kept] + self.characters("phone", digits[kept:]))
 
+    def _value(self, text: str, start: int, first: str) -> tuple[str, int, int, str] | None:
+        """(kind, start, end, pseudonym) of the value whose form starts at ``start``; None if no kind's check holds.
+
+        Kinds are tried from ``first`` on. If the check fails for all that a grouped form takes, what
+        ends before one of its last groups is tried, longest first.
+        """
+        for kind in KINDS[KINDS.index(first) :]:
+            m = _ONE[kind].match(text, start)
+            if not m:
+                continue
+            begin, last = m.span("value" if kind == "secret" and m["value"] else 0)
+            cuts = [c.start() for c in _GROUPED[kind].finditer(text, begin, last)] if kind in _GROUPED else []
+            for end in [last, *reversed(cuts)]:
+                new = getattr(self, f"_{kind}")(text[begin:end])
+                if new is not None:
+                    return kind, begin, end, new
+        return None
+
     def replace(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
         """The text with pseudonyms, and (kind, start, length) of what was replaced in it."""
         found: list[tuple[str, int, int]] = []
@@ -148,12 +169,12 @@ class Pseudonyms:
             return text, found
         out, done, at = [], 0, 0
         while m := _FIND.search(text, at):
-            start, end = m.span("value" if m["value"] else 0)
-            new = getattr(self, f"_{m.lastgroup}")(text[start:end])
-            if new is None:  # the form without the check: other forms may start inside it
-                at = start + 1
+            value = self._value(text, m.start(), m.lastgroup)
+            if value is None:  # the form without the check: other forms may start inside it
+                at = m.start() + 1
                 continue
-            found.append((m.lastgroup, start, end - start))
+            kind, start, end, new = value
+            found.append((kind, start, end - start))
             out += [text[done:start], new]
             done = at = end
         return "".join([*out, text[done:]]), found

@@ -30,3 +30,37 @@ def test_words_near_keywords_stay():
     assert spans("the token is lost, a password reset, tokens: a few, password=short") == []
     assert spans("token=someone1@mail.example.org") == [("email", "someone1@mail.example.org")]
     assert re.fullmatch(r"[0-9A-F]{40}", MADE.replace(HEX.upper())[0])
+
+
+@pytest.mark.parametrize("card", ["4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111", "378282246310005", "3782 822463 10005"])
+@pytest.mark.parametrize("after", [" 123", " 7", " 12/27", " 12 27", " 123 Main St", "-123"])
+def test_card_before_further_digits(card, after):
+    kind, value = spans(f"card {card}{after} end")[0]
+    assert kind == "card" and value.startswith(card)
+    if pii._luhn(re.sub("[^0-9]", "", card + after[:4])[:-1]) != re.sub("[^0-9]", "", card + after[:4])[-1]:
+        assert value == card
+
+
+def test_long_cards_stay_digits():
+    for payload in ("6304000000000000", "630400000000000012", "63040000000000001"):
+        card = payload + pii._luhn(payload)
+        new, found = MADE.replace(f"n {card} n")
+        assert [k for k, _, _ in found] == ["card"] and re.fullmatch(f"n [0-9]{{{len(card)}}} n", new) and card not in new
+
+
+@pytest.mark.parametrize("iban", ["AT61 1904 3002 3457 3201", "AT611904300234573201", "GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00"])
+@pytest.mark.parametrize("after", [" EUR", " BANK EUR", " 100 EUR", ""])
+def test_iban_before_capitals(iban, after):
+    new, found = MADE.replace(f"to {iban}{after}.")
+    assert [(k, n) for k, _, n in found] == [("iban", len(iban))] and new.endswith(after + ".") and iban not in new
+    assert [k for k, _, _ in MADE.replace(new)[1]] == ["iban"]
+
+
+def test_dates_of_timestamps():
+    for text in ("2024-05-01T12:00", "2024-05-01t12:00:30Z", "2024-05-01T120030+02:00", "at 2024-05-01 12:00"):
+        assert spans(text) == [("date", "2024-05-01")] and "2024-05-01" not in MADE.replace(text)[0]
+    assert spans("2024-05-01Test 2024-05-01T99:00 2024-05-011") == []
+
+
+def test_other_kind_where_a_check_fails():
+    assert spans("call 293 555 9179 12345 now") == [("phone", "293 555 9179")]
