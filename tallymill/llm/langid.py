@@ -36,7 +36,7 @@ def fit(docs: DataFrame, text_column: str = "text", lang_column: str = "lang") -
     """A dictionary per language from a bounded sample of the labelled rows of ``docs``.
 
     The sample takes the ``SAMPLE_TEXTS`` different texts of a language that come first by hash
-    and their first ``SAMPLE_CHARS`` characters. Labels are a closed set of language names.
+    and their first ``SAMPLE_CHARS`` characters; a dictionary has a share of each of them. Labels are a closed set of language names.
     """
     rows = docs.where(F.col(lang_column).isNotNull() & F.col(text_column).rlike(r"\p{L}"))
     rows = rows.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"), F.xxhash64(text_column).alias("h"))
@@ -47,7 +47,16 @@ def fit(docs: DataFrame, text_column: str = "text", lang_column: str = "lang") -
     texts: dict[str, list[bytes]] = {}
     for row in found.orderBy("lang", "h").collect():
         texts.setdefault(row.lang, []).append(row.text.lower().encode())
-    return {lang: b"\n".join(parts)[:DICTIONARY_BYTES] for lang, parts in texts.items()}
+    return {lang: _shared_out(parts, DICTIONARY_BYTES) for lang, parts in texts.items()}
+
+
+def _shared_out(parts: list[bytes], most: int) -> bytes:
+    """The beginnings of all parts, a line each: equal shares of ``most`` bytes, with what short parts leave going to the others."""
+    left, ends = most - len(parts) + 1, [0] * len(parts)
+    for n, i in enumerate(sorted(range(len(parts)), key=lambda i: len(parts[i]))):
+        ends[i] = min(len(parts[i]), left // (len(parts) - n))
+        left -= ends[i]
+    return b"\n".join(part[:end] for part, end in zip(parts, ends))
 
 
 def _compressors(content: bytes, level: int):
