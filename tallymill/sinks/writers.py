@@ -1,7 +1,7 @@
 """Text outputs.
 
 Sorted outputs are written by all tasks from range partitions; their part files in name
-order are the sorted whole. Only ``write_single`` goes through one task, behind a row limit.
+order are the sorted whole. Only ``write_single`` goes through one task.
 """
 
 from __future__ import annotations
@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallymill.session import written_table
 
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_csv(df: DataFrame, path: str, header: bool = False, sep: str = ",") -> None:
     """A directory of CSV part files, replacing what was there."""
@@ -37,13 +35,14 @@ def write_per_key(df: DataFrame, path: str, keys: list[str], order: list[Column]
     df.orderBy(*keys, *order).write.mode("overwrite").partitionBy(*keys).csv(path, sep=sep)
 
 
-def write_single(df: DataFrame, path: str, order: list, header: bool = False, sep: str = ",", max_rows: int = SINGLE_FILE_ROWS) -> None:
-    """One sorted file for a small result; larger ones are refused, ``write_sorted`` takes them.
+def write_single(df: DataFrame, path: str, order: list, header: bool = False, sep: str = ",", max_rows: int | None = None) -> None:
+    """One sorted file, written by one task whatever its size; ``write_sorted`` writes large results in parallel.
 
-    The result is written once in parallel before it is counted, so it is not computed twice.
+    Only a caller that gives ``max_rows`` has results above it refused. The result is written once in
+    parallel before, so it is not computed in the one task.
     """
     result = written_table(df, "single-file")
-    if result.limit(max_rows + 1).count() > max_rows:
+    if max_rows is not None and result.limit(max_rows + 1).count() > max_rows:
         raise ValueError(f"more than {max_rows} rows: use write_sorted")
     write_csv(result.coalesce(1).sortWithinPartitions(*order), path, header, sep)
 
