@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import sha256
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymill.llm import langid, lattice, mixing, packing, pii, repeats, resampling, simhash, token_count, topk
+from tallymill.llm import langid, lattice, mixing, packing, passages, pii, repeats, resampling, simhash, token_count, topk, trie_codes, vafile
 from tallymill.plans.tables import load
+from tallymill.session import written_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -71,6 +73,28 @@ def op10_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.resample(load(spark, folder, "documents"), good)
 
 
+def op11_passages(spark: SparkSession, folder: str) -> DataFrame:
+    cut = passages.remove_passages(load(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_trie_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, codebooks = trie_codes.vector_codes(load(spark, folder, "embeddings"), keep=["label"])
+    digits = F.array_join(F.transform("code", lambda e: F.lpad(F.lower(F.hex(e)), 2, "0")), "")
+    coded = written_table(coded.select("row.vec_id", "row.label", digits.alias("code"), "error"), "codes")
+    by_label = coded.groupBy(F.col("label").alias("same")).agg(F.try_sum("error").alias("label_error"))
+    components = ",".join(str(v) for entries in codebooks for entry in entries.tolist() for v in entry)
+    rows = coded.join(by_label, F.col("label").eqNullSafe(F.col("same"))).select("vec_id", "code", "error", "label_error")
+    return rows.withColumn("codebooks_sha256", F.lit(sha256(components.encode()).hexdigest()))
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    clustered, centroids = vafile.cluster(load(spark, folder, "embeddings"))
+    hashes = [sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids.tolist()]
+    own = F.get(F.array(*[F.lit(h) for h in hashes]).cast("array<string>"), F.col("cluster"))
+    return vafile.with_inertia(clustered).withColumn("centroid_sha256", own)
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_token_counts,
     op2_simhash_groups,
@@ -82,9 +106,92 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op8_mixing,
     op9_language,
     op10_resampling,
+    op11_passages,
+    op12_trie_codes,
+    op13_centroids,
 ]
 
+_FINITE = "len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"
+
+
+def _whole(scale: int) -> str:
+    return f"[CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding]"
+
+
+def _apart(size: int) -> str:
+    return f"CAST(list_sum([(a.x[i] - b.x[i]) * (a.x[i] - b.x[i]) FOR i IN range(1, {size + 1})]) AS BIGINT)"
+
+
+#: Floor of s / n for whole numbers.
+_MEAN = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+
+
+def _codes_sql(parts: int = 4, size: int = 16, entries: int = 256, rounds: int = 4) -> str:
+    """Codebooks round by round; the size of the vectors is that of the test table."""
+    steps = [
+        f"""v AS (SELECT row_number() OVER () AS r, vec_id, label, {_whole(1024)} AS x FROM embeddings WHERE {_FINITE}),
+        p AS (SELECT r, q, x[{size} * q + 1:{size} * q + {size}] AS x FROM v, (SELECT unnest(range({parts})) AS q)),
+        d AS (SELECT q, x, count(*) AS n FROM p GROUP BY ALL),
+        o AS (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, x) - 1 AS e FROM v),
+        b0 AS (SELECT q, e, x FROM p JOIN o USING (r) WHERE e < {entries})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS (SELECT a.q, a.x, any_value(a.n) AS n, min([{_apart(size)}, b.e]) AS m
+            FROM d a JOIN b{i} b USING (q) GROUP BY a.q, a.x)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""s{i} AS (SELECT q, m[2] AS e, k, CAST(sum(n * x[k]) AS BIGINT) AS s, CAST(sum(n) AS BIGINT) AS n
+                FROM a{i}, (SELECT unnest(range(1, {size + 1})) AS k) GROUP BY ALL),
+            u{i} AS (SELECT q, e, list({_MEAN} ORDER BY k) AS x FROM s{i} GROUP BY q, e),
+            b{i + 1} AS (SELECT q, e, coalesce(u.x, b.x) AS x FROM b{i} b LEFT JOIN u{i} u USING (q, e))"""
+            )
+    return f"""
+        WITH {", ".join(steps)},
+        c AS (SELECT r, string_agg(printf('%02x', m[2]), '' ORDER BY q) AS code, CAST(sum(m[1]) AS BIGINT) AS error
+              FROM p JOIN a{rounds} USING (q, x) GROUP BY r)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY q, e)) FROM b{rounds}) AS codebooks_sha256
+        FROM v JOIN c USING (r)"""
+
+
+def _centroids_sql(size: int = 64, k: int = 16, rounds: int = 3) -> str:
+    steps = [
+        f"""v AS (SELECT row_number() OVER () AS r, vec_id, {_whole(64)} AS x FROM embeddings WHERE len(embedding) = {size} AND {_FINITE}),
+        b0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)) NULLS LAST, x) - 1 AS e, x FROM v QUALIFY e < {k})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"a{i} AS (SELECT a.r, any_value(a.vec_id) AS vec_id, any_value(a.x) AS x, min([{_apart(size)}, b.e]) AS m FROM v a, b{i} b GROUP BY a.r)")
+        if i < rounds:
+            steps.append(
+                f"""s{i} AS (SELECT m[2] AS e, k, CAST(sum(x[k]) AS BIGINT) AS s, count(*) AS n
+                FROM a{i}, (SELECT unnest(range(1, {size + 1})) AS k) GROUP BY ALL),
+            u{i} AS (SELECT e, list({_MEAN} ORDER BY k) AS x FROM s{i} GROUP BY e),
+            b{i + 1} AS (SELECT e, coalesce(u.x, b.x) AS x FROM b{i} b LEFT JOIN u{i} u USING (e))"""
+            )
+    return f"""
+        WITH {", ".join(steps)}
+        SELECT vec_id, CAST(m[2] AS INTEGER) AS cluster, m[1] AS distance, CAST(sum(m[1]) OVER (PARTITION BY m[2]) AS BIGINT) AS cluster_inertia,
+               CAST(sum(m[1]) OVER () AS BIGINT) AS inertia, sha256(array_to_string(b.x, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN b{rounds} b ON m[2] = e"""
+
+
 ORACLE_SQL = {
+    "op11_passages": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+        t AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+        s AS (SELECT r, i, word, string_agg(word, ' ') OVER a AS s, count(*) OVER a AS c
+              FROM t WINDOW a AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+        again AS (SELECT s FROM s WHERE c = 35 GROUP BY s HAVING count(*) > 1),
+        g AS (SELECT r, i, word, max(CASE WHEN c = 35 AND again.s IS NOT NULL THEN 1 ELSE 0 END)
+                       OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+              FROM s LEFT JOIN again USING (s)),
+        k AS (SELECT r, sum(gone) AS n, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM g GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k USING (r)""",
+    "op12_trie_codes": _codes_sql(),
+    "op13_centroids": _centroids_sql(),
     "op7_top_k": """
         WITH v AS (
             SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x
