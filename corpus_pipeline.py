@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tallymill.llm import langid, mixing, packing, pii, queries, shingled
+from tallymill.llm import langid, mixing, packing, pii, queries, simhash
 from tallymill.session import written_table
 
-#: Words of a shingle of the near-dedup stage.
-SHINGLE = 5
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised.
@@ -24,26 +21,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with 5-word-shingle similarity 0.8 or more: the one with the smallest id.
+    """One document of each group that SimHash links: the one with the smallest id.
 
-    Links are verified on whole shingle sets. Rows with the same id, and null ids (which come last),
-    are told apart by a hash of the row; of equal rows one stays.
+    Fingerprints of 3-word shingles link at 3 or fewer differing bits. Texts that are null or have no
+    words are one group. Of rows with the same id and fingerprint, equal ones included, the first by
+    the hash of the row stays; null ids come last. An empty table stays empty.
     """
+    rows = docs.select(F.struct("*").alias("row"))
     keys = ["none", "id", "h"]
     name = [F.col("row.doc_id").isNull().alias("none"), F.coalesce("row.doc_id", F.lit(0)).alias("id"), F.xxhash64("row").alias("h")]
-    rows = docs.select(F.struct("*").alias("row"))
-    sketches = rows.select(F.struct(*name).alias("name"), shingled.sketch(F.col("row.text"), SHINGLE).alias("s")).select("name", "s.*")
-    sketches = written_table(sketches, "sketches")
-    least = written_table(sketches.groupBy("node").agg(F.min("name").alias("name")), "least-names")
-
-    def texts_of(nodes: DataFrame) -> DataFrame:
-        wanted = least.join(nodes, "node").select("node", "name.*")
-        return rows.select(F.col("row.text").alias("text"), *name).join(wanted, keys).select("node", "text")
-
-    roots = shingled.linked_sets(sketches, texts_of, SHINGLE)
-    chosen = least.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("name").alias("name"))
-    stays = rows.select("row", *name).join(chosen.select("name.*"), keys, "left_semi")
-    return stays.dropDuplicates(keys).select("row.*")
+    found = simhash.near_duplicates(rows.select(F.struct(*name).alias("name"), F.col("row.text").alias("text")), "name", "text")
+    chosen = found.where("name = component_id").select("name.*").distinct()
+    return rows.select("row", *name).join(chosen, keys, "left_semi").dropDuplicates(keys).select("row.*")
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
