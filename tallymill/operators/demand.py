@@ -54,12 +54,12 @@ def rides_per_zone(points: DataFrame, zone: str = "zone") -> DataFrame:
 def zone_bounds(rectangles: DataFrame) -> DataFrame:
     """(zone, left, right, bottom, top) per zone and, with a null zone, of all zones together.
 
-    ``rectangles`` has the same columns; several rectangles of a zone are merged. One
-    rollup gives both levels.
+    ``rectangles`` has the same columns; several rectangles of a zone are merged. Those without a
+    zone count for the overall box only. One rollup gives both levels, told apart by the grouping id.
     """
     edges = [F.min("left").alias("left"), F.max("right").alias("right"), F.min("bottom").alias("bottom"), F.max("top").alias("top")]
-    known = rectangles.where(F.col("zone").isNotNull())
-    return known.rollup("zone").agg(*edges)
+    levels = rectangles.rollup("zone").agg(*edges, F.grouping_id().alias("level"))
+    return levels.where("level = 1 or zone is not null").drop("level")
 
 
 def zone_points(points: DataFrame, zone: int) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tallymill.functions.hashing import coefficients, shingle_hashes, signature_batches
 from tallymill.functions.text import with_plain_words
+from tallymill.session import written_table
 
 # Most shingles of a document per row sent to a Python worker.
 PIECE = 1024
@@ -65,6 +66,63 @@ def minhash_signatures(df: DataFrame, doc_id: str = "doc_id", **options) -> Data
     return minhash_arrays(df, doc_id, **options).select(doc_id, F.posexplode("signature").alias("hash_idx", "minhash"))
 
 
+def signature_pieces(signatures: DataFrame, doc_id: str = "doc_id", block: int = 4096) -> DataFrame:
+    """(row, first, values): the matrix of functions x documents, in pieces of rows.
+
+    ``signatures`` are those of :func:`minhash_arrays`. Documents go by id over all tasks, and each block of
+    them is turned from columns into rows within its task: row i holds the values of function i, row -1 the ids.
+    ``first`` is the place of the piece's first document among all, from the number of documents in the
+    blocks before. Only pieces leave a task, and only their sizes are counted through. Ids have to be numbers.
+    """
+    ordered = written_table(_blocks_of_rows(signatures, doc_id, block), "signature-pieces")
+    sizes = ordered.where("row = -1").select("block", F.size("values").cast("long").alias("n"))
+    before = F.sum("n").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    places = sizes.select("block", F.coalesce(before, F.lit(0)).alias("first"))
+    return ordered.join(places, "block").select("row", "first", "values")
+
+
+def _blocks_of_rows(signatures: DataFrame, doc_id: str, block: int) -> DataFrame:
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        number, ids, values = TaskContext.get().partitionId() << 32, [], []
+
+        def turned():
+            matrix = np.concatenate([np.concatenate(ids)[None, :], np.concatenate(values).T])
+            ends = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
+            rows = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(matrix).ravel()))
+            return pa.record_batch(
+                {"block": np.full(len(matrix), number), "row": np.arange(-1, len(matrix) - 1, dtype=np.int32), "values": rows}
+            )
+
+        held = 0
+        for batch in batches:
+            for at in range(0, len(batch), block):
+                part = batch.slice(at, block)
+                ids.append(part.column(0).to_numpy().astype(np.int64))
+                values.append(part.column(1).flatten().to_numpy().reshape(len(part), -1))
+                held += len(part)
+                if held >= block:
+                    yield turned()
+                    number, ids, values, held = number + 1, [], [], 0
+        if held:
+            yield turned()
+
+    ordered = signatures.select(doc_id, "signature").where(F.col(doc_id).isNotNull()).orderBy(doc_id)
+    return ordered.mapInArrow(run, "block long, row int, values array<long>")
+
+
+def matrix_cells(pieces: DataFrame) -> DataFrame:
+    """(hash_idx, position, doc_id, minhash) of a signature matrix in pieces: ids and values of a place side by side."""
+    ids = pieces.where("row = -1").select("first", F.col("values").alias("ids"))
+    both = pieces.where("row >= 0").join(ids, "first")
+    each = F.arrays_zip("ids", "values")
+    cells = both.select(F.col("row").alias("hash_idx"), "first", F.posexplode(each).alias("at", "cell"))
+    return cells.select("hash_idx", (F.col("first") + F.col("at")).alias("position"), F.col("cell.ids").alias("doc_id"), F.col("cell.values").alias("minhash"))
+
+
 def _hashed(df: DataFrame, doc_id: str, text: str, size: int, method: str) -> DataFrame:
     words = with_plain_words(df, text, [doc_id])
     return words.select(doc_id, shingle_hashes(F.col("words"), size, method).alias("shingles"))

@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallymill.functions.numbers import cosine
+from tallymill.session import written_table
 
 
 def similarity_to(ratings: DataFrame, target, entity: str, dimension: str, value: str) -> DataFrame:
     """(entity, similarity) of every entity to ``target``, most similar first.
 
     Vectors have one component per ``dimension``, the summed values, and 0 where there
-    is none, so an entity that shares nothing with the target appears with 0. Only the
-    target's vector is joined: the dot product and the norm of every entity come from
-    one aggregate, and pairs of other entities are never formed. The join carries no
-    hint, because the target's vector has no bound; its measured size decides.
+    is none, so an entity that shares nothing with the target appears with 0. The summed
+    cells are written once, whatever the ratings were derived from. Only the target's vector is
+    joined: the dot product and the norm of every entity come from one aggregate, and pairs of
+    other entities are never formed. The join carries no hint, because the target's vector has
+    no bound; its measured size decides.
     """
     known = ratings.where(F.col(entity).isNotNull() & F.col(dimension).isNotNull())
     total = F.sum(F.col(value).cast("double"))
-    cells = known.groupBy(entity, dimension).agg(total.alias("v"))
-    own = known.where(F.col(entity) == F.lit(target)).groupBy(dimension).agg(total.alias("t"))
+    cells = written_table(known.groupBy(entity, dimension).agg(total.alias("v")), "similarity-cells")
+    own = written_table(cells.where(F.col(entity) == F.lit(target)).select(dimension, F.col("v").alias("t")), "similarity-own")
     own_square = own.agg(F.sum(F.col("t") * F.col("t"))).scalar()
     sums = (
         cells.join(own, dimension, "left")

@@ -12,10 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallymill.functions.text import space_words
 from tallymill.operators.ranking import top_per_group
-
-# Largest vocabulary that is sent to every executor.
-BROADCAST_ROWS = 1_000_000
-
+from tallymill.session import written_table
 
 def texts_as_cases(df: DataFrame, texts: list[str], keep: list[str]) -> DataFrame:
     """One row per text column: (``keep``..., case, text). One scan serves all cases."""
@@ -68,44 +65,40 @@ def top_words_by_topic(
     return top_per_group(counts, keys, [F.desc("n"), F.asc("word")], k, tie_break="word")
 
 
-def cooccurrence(
-    df: DataFrame, vocabulary: DataFrame, vocabulary_rows: int, doc_id: str, keys: list[str], text: str = "text"
-) -> DataFrame:
-    """(keys..., word_a, word_b, n): pairs of occurrences in the same document.
+def cooccurrence_cells(df: DataFrame, vocabulary: DataFrame, doc_id: str, keys: list[str], text: str = "text") -> DataFrame:
+    """(keys..., rank_a, word_a, rank_b, word_b, n): pairs of occurrences in the same document.
 
     A word found m times and another found n times in one document add m * n, a word
-    with itself m * m. ``vocabulary`` holds (keys..., word, rank) with at most
-    ``vocabulary_rows`` rows; its words are the only ones counted, which also bounds the
-    pairs of a document. Each document is reduced to (rank, count) before pairing, each
-    unordered pair is built once, and the mirror image is added to the finished cells.
+    with itself m * m. ``vocabulary`` holds (keys..., word, rank); its words are the only ones
+    counted, which also bounds the pairs of a document. It is written, so that its measured size
+    decides on the join. Each document is reduced to (rank, word, count) before pairing, and a
+    word is paired with those of its own or a higher rank only; the mirror image is added to the finished cells.
     """
     known = vocabulary.select(*keys, "word", "rank").where(F.col("word").isNotNull())
-    small = vocabulary_rows <= BROADCAST_ROWS
-    hint = F.broadcast if small else (lambda side: side)
-
+    known = written_table(known, "vocabulary")
     tokens = df.where(F.col(text).isNotNull()).select(
         *keys, doc_id, F.explode_outer(space_words(F.col(text))).alias("word")
     )
-    found = tokens.join(hint(known), [*keys, "word"]).groupBy(*keys, doc_id, "rank").agg(F.count("*").alias("m"))
-    by_document = found.groupBy(*keys, doc_id).agg(F.collect_list(F.struct("rank", "m")).alias("found"))
+    found = tokens.join(known, [*keys, "word"]).groupBy(*keys, doc_id, "rank", "word").agg(F.count("*").alias("m"))
+    by_document = found.groupBy(*keys, doc_id).agg(F.sort_array(F.collect_list(F.struct("rank", "word", "m"))).alias("found"))
 
-    left = by_document.select(*keys, "found", F.explode("found").alias("a"))
-    both = left.select(*keys, "a", F.explode("found").alias("b")).where(F.col("a.rank") <= F.col("b.rank"))
-    cells = both.groupBy(*keys, F.col("a.rank").alias("rank_a"), F.col("b.rank").alias("rank_b")).agg(
-        F.sum(F.col("a.m") * F.col("b.m")).alias("n")
-    )
+    left = by_document.select(*keys, "found", F.posexplode("found").alias("at", "a"))
+    rest = F.slice("found", F.col("at") + 1, F.size("found") - F.col("at"))
+    both = left.select(*keys, "a", F.explode(rest).alias("b"))
+    names = [F.col(f"{side}.{name}").alias(f"{name}_{side}") for side in ("a", "b") for name in ("rank", "word")]
+    cells = both.groupBy(*keys, *names).agg(F.sum(F.col("a.m") * F.col("b.m")).alias("n"))
 
-    def cell(a: str, b: str):
-        return F.struct(F.col(a).alias("rank_a"), F.col(b).alias("rank_b"))
+    def cell(one: str, other: str):
+        sides = [F.col(f"{name}_{side}").alias(f"{name}_{to}") for side, to in ((one, "a"), (other, "b")) for name in ("rank", "word")]
+        return F.struct(*sides)
+
+    sides = F.when(F.col("rank_a") == F.col("rank_b"), F.array(cell("a", "b"))).otherwise(F.array(cell("a", "b"), cell("b", "a")))
+    return cells.select(*keys, F.inline(sides), "n")
 
-    sides = F.when(F.col("rank_a") == F.col("rank_b"), F.array(cell("rank_a", "rank_b"))).otherwise(
-        F.array(cell("rank_a", "rank_b"), cell("rank_b", "rank_a"))
-    )
-    mirrored = cells.select(*keys, "n", F.inline(sides))
-    for side in ("a", "b"):
-        names = known.select(*keys, F.col("word").alias(f"word_{side}"), F.col("rank").alias(f"rank_{side}"))
-        mirrored = mirrored.join(hint(names), [*keys, f"rank_{side}"])
-    return mirrored.select(*keys, "word_a", "word_b", "n")
+
+def cooccurrence(df: DataFrame, vocabulary: DataFrame, doc_id: str, keys: list[str], text: str = "text") -> DataFrame:
+    """(keys..., word_a, word_b, n) of :func:`cooccurrence_cells`."""
+    return cooccurrence_cells(df, vocabulary, doc_id, keys, text).select(*keys, "word_a", "word_b", "n")
 
 
 def cooccurrence_matrix(cells: DataFrame, words: list[str]) -> DataFrame:
@@ -116,3 +109,22 @@ def cooccurrence_matrix(cells: DataFrame, words: list[str]) -> DataFrame:
     listed = cells.where(F.col("word_a").isin(words) & F.col("word_b").isin(words))
     wide = listed.groupBy(F.col("word_a").alias("word")).pivot("word_b", words).agg(F.sum("n"))
     return wide.fillna(0, subset=words)
+
+
+def cooccurrence_matrices(cells: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """(keys..., rank, word, n1, ..., n<size>): the matrix of every key, row by row, from one pivot.
+
+    Columns go by rank, so no column name has to be learned from the data; the words that they stand for are
+    the rows of :func:`matrix_headers`. Zero where nothing was counted; a key with fewer words
+    has zeros in the columns beyond them.
+    """
+    ranks = list(range(1, size + 1))
+    rows = cells.groupBy(*keys, F.col("rank_a").alias("rank"), F.col("word_a").alias("word"))
+    wide = rows.pivot("rank_b", ranks).agg(F.sum("n"))
+    return wide.select(*keys, "rank", "word", *[F.coalesce(F.col(str(r)), F.lit(0)).alias(f"n{r}") for r in ranks])
+
+
+def matrix_headers(vocabulary: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """(keys..., w1, ..., w<size>): the words behind the columns of every key's matrix; null beyond its last word."""
+    wide = vocabulary.groupBy(*keys).pivot("rank", list(range(1, size + 1))).agg(F.min("word"))
+    return wide.select(*keys, *[F.col(str(r)).alias(f"w{r}") for r in range(1, size + 1)])

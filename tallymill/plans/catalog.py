@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallymill.operators import columns, demand, forest, links, popularity, scores, shingles, similarity, words
 from tallymill.plans import files, tables
+from tallymill.session import written_table
 from tallymill.sources import corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,15 +90,29 @@ def top_words_by_topic(spark, sf):
 def cooccurrence(spark, sf):
     docs = tables.documents(spark, sf)
     top = words.top_words_by_topic(docs, tables.TOPICS, TOP_WORDS)
-    return words.cooccurrence(docs, top, TOP_WORDS * len(tables.TOPICS), "doc_id", ["topic"])
+    return words.cooccurrence(docs, top, "doc_id", ["topic"])
 
 
 def cooccurrence_matrix(spark, sf):
     listed = spark.createDataFrame([(MATRIX_TOPIC, w, i) for i, w in enumerate(MATRIX_WORDS, 1)], "topic string, word string, rank int")
-    cells = words.cooccurrence(tables.documents(spark, sf), listed, len(MATRIX_WORDS), "doc_id", ["topic"])
+    cells = words.cooccurrence(tables.documents(spark, sf), listed, "doc_id", ["topic"])
     return words.cooccurrence_matrix(cells, MATRIX_WORDS)
 
 
+def cooccurrence_matrices(spark, sf):
+    """The matrix of the top words of every case and topic: a row per word, a column per rank."""
+    cases = tables.cases(spark, sf)
+    top = written_table(words.top_words_by_topic(cases, tables.TOPICS, TOP_WORDS, keys=["case"]), "top-words")
+    cells = words.cooccurrence_cells(cases, top, "doc_id", ["case", "topic"])
+    return words.cooccurrence_matrices(cells, ["case", "topic"], TOP_WORDS)
+
+
+def cooccurrence_headers(spark, sf):
+    """The words behind the columns of these matrices."""
+    top = words.top_words_by_topic(tables.cases(spark, sf), tables.TOPICS, TOP_WORDS, keys=["case"])
+    return words.matrix_headers(top, ["case", "topic"], TOP_WORDS)
+
+
 def doc_shingles(spark, sf):
     return shingles.doc_shingles(tables.documents(spark, sf))
 
@@ -221,6 +236,7 @@ def queries() -> dict[str, Query]:
         word_count_total, word_count_by_day, word_count_by_topic,
         popularity_hourly, popularity_hourly_disjoint, popularity_daily, popularity_daily_disjoint,
         sentiment_by_topic, top_words_by_topic, cooccurrence, cooccurrence_matrix,
+        cooccurrence_matrices, cooccurrence_headers,
         doc_shingles, doc_shingles_md5, shingle_doc_matrix, minhash_signatures, corpus_documents,
         average_rating, user_similarity, item_similarity,
         out_degree, in_degree, node_links, graph_nodes,

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallymill.operators import columns, demand, links, popularity, scores, shingles, words
+from tallymill.operators import columns, demand, links, popularity, scores, shingles, similarity, words
 from tallymill.plans import tables
 from tallymill.session import shared_folder, written_table
 from tallymill.sinks import writers
-from tallymill.sources import corpus, delimited, schemas
+from tallymill.sources import corpus, delimited, quoted, schemas
 
 # Fixed values of the file formats.
 EDGE_COMMENTS = ["# Directed graph", "# One link per line", "# FromNodeId\tToNodeId"]
@@ -195,8 +195,134 @@ def link_files(spark, sf) -> DataFrame:
     return back.select("direction", F.col("value").cast("bigint").alias("neighbour"))
 
 
+def news_file_texts(spark, sf) -> DataFrame:
+    """Quoted CSV of the documents as they are, read back from several splits: every text, byte for byte."""
+    path = shared_folder(spark, "news-texts")
+    docs = tables.documents(spark, sf)
+    news = docs.select(
+        F.col("doc_id").alias("IDLink"),
+        F.substring_index("text", "\n", 1).alias("Title"),
+        F.col("text").alias("Headline"),
+        F.lit("").alias("Source"),
+        F.col("topic").alias("Topic"),
+        F.date_format("day", "yyyy-MM-dd HH:mm:ss").alias("PublishDate"),
+        *[F.lit(0.5).alias(c) for c in ("SentimentTitle", "SentimentHeadline", "Facebook", "GooglePlus", "LinkedIn")],
+    )
+    news.write.csv(path, header=True, **writers.QUOTED)
+    read = delimited.read_news_with_breaks(spark, path)
+    return read.select(F.col("IDLink").alias("doc_id"), "Title", "Headline", "Source", "Topic", F.to_date("PublishDate").alias("day"))
+
+
+def word_files_by_case_and_day(spark, sf) -> DataFrame:
+    """Words of every case and day as quoted files in a folder per case and day, read back as they were."""
+    path = shared_folder(spark, "case-day-words")
+    docs = tables.documents(spark, sf)
+    cases = words.texts_as_cases(docs.select("day", F.substring_index("text", "\n", 1).alias("Title"), F.col("text").alias("Headline")), ["Title", "Headline"], ["day"])
+    counts = words.word_count_by(cases, ["case", "day"])
+    writers.write_per_key(counts, path, ["case", "day"], [F.desc("n"), F.asc("word")], quoted=True)
+    back = quoted.read_quoted(spark, path, "word string, n bigint", header=False, sep=" ", keys=["case", "day"])
+    return back.select("case", F.col("day").cast("date").alias("day"), "word", "n")
+
+
+def article_file_ids(spark, sf) -> DataFrame:
+    """Articles in one file in the order of ids, read back with the place of each in the file."""
+    path = shared_folder(spark, "numbered-articles")
+    text = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    article = F.concat(F.lit('<REUTERS ID="'), "doc_id", F.lit('"><TEXT><BODY>'), text, F.lit("</BODY></TEXT></REUTERS>"))
+    writers.write_single_text(tables.documents(spark, sf).select("doc_id", article.alias("article")), path, "article", ["doc_id"])
+    articles = corpus.read_large_corpus(spark, path, closing_tag="</REUTERS>")
+    return articles.select("position", "body")
+
+
+def matrix_files(spark, sf) -> DataFrame:
+    """The matrices of all cases and topics as quoted files with a line of words, read back cell by cell."""
+    path = shared_folder(spark, "matrices")
+    keys = ["case", "topic"]
+    cases = tables.cases(spark, sf)
+    top = written_table(words.top_words_by_topic(cases, tables.TOPICS, keys=["case"]), "top-words")
+    cells = words.cooccurrence_cells(cases, top, "doc_id", keys)
+    writers.write_matrices(words.cooccurrence_matrices(cells, keys, 100), words.matrix_headers(top, keys, 100), path, keys, 100)
+    names = [f"n{i}" for i in range(1, 101)]
+    back = quoted.read_quoted(spark, path, ", ".join(f"{c} string" for c in ["word", *names]), header=False, keys=keys)
+    head = back.where(F.col("word") == writers.CORNER).select(*keys, F.array(*names).alias("words"))
+    body = back.where(F.col("word") != writers.CORNER).select(*keys, F.col("word").alias("word_a"), F.array(*names).alias("counts"))
+    each = F.inline(F.arrays_zip(F.col("words").alias("word_b"), F.col("counts").cast("array<bigint>").alias("n")))
+    return body.join(head, keys).select(*keys, "word_a", each).where("n > 0")
+
+
+def signature_matrix_files(spark, sf) -> DataFrame:
+    """The matrix of all 256 functions x documents as files of row pieces, read back with ids and places."""
+    path = shared_folder(spark, "signature-matrix")
+    arrays = shingles.minhash_arrays(tables.documents(spark, sf), num_hashes=256)
+    writers.write_matrix_pieces(shingles.signature_pieces(arrays), path)
+    return shingles.matrix_cells(writers.read_matrix_pieces(spark, path))
+
+
+def wide_average_files(spark, sf) -> DataFrame:
+    """Files with a column for every hourly and every daily average, with header, read back row by row."""
+    folder = shared_folder(spark, "averages")
+    keys = ["entity", "block"]
+    ticks = popularity.ticks_from_rows(tables.tick_rows(spark, sf), keys, "slot", "value")
+    hours = written_table(popularity.hourly_means(ticks, keys), "hours")
+    days = popularity.daily_means(hours, keys)
+    kinds = {"hour": (hours, "hours", popularity.SLIDING_HOURS), "day": (days, "days", popularity.SLIDING_HOURS - popularity.HOURS_PER_DAY + 1)}
+    found = []
+    for kind, (series, values, count) in kinds.items():
+        names = [f"avg_{kind}{i}" for i in range(1, count + 1)]
+        writers.write_csv(popularity.as_columns(series, keys, values, f"avg_{kind}", count), f"{folder}/{kind}", header=True)
+        columns_ = ", ".join(["entity string", "block int", *(f"{n} double" for n in names)])
+        wide = delimited.read_delimited(spark, f"{folder}/{kind}", columns_, header=True)
+        rows = popularity.as_rows(wide.select(*keys, F.array(*names).alias("values")), keys, "values", "average")
+        found.append(rows.select(F.lit(kind).alias("kind"), *keys, "slot", F.round("average", 6).alias("average")))
+    return found[0].unionByName(found[1])
+
+
+def link_lines(spark, sf) -> DataFrame:
+    """The links of one node as a text of two whole lines, read back line by line."""
+    path = shared_folder(spark, "link-lines")
+    writers.write_link_lines(links.node_links(tables.edges(spark, sf), 1), path)
+    return spark.read.text(path)
+
+
+def edge_file_in_degrees(spark, sf) -> DataFrame:
+    """Distinct sources per target of a tab-separated edge file."""
+    path = shared_folder(spark, "edges-in")
+    spark.createDataFrame([(line,) for line in EDGE_COMMENTS], "value string").coalesce(1).write.text(path)
+    tables.edges(spark, sf).write.mode("append").csv(path, sep="\t")
+    return links.in_degree(delimited.read_edges(spark, path))
+
+
+def edge_file_links(spark, sf) -> DataFrame:
+    """Links of one node of a tab-separated edge file."""
+    path = shared_folder(spark, "edges-of-node")
+    spark.createDataFrame([(line,) for line in EDGE_COMMENTS], "value string").coalesce(1).write.text(path)
+    tables.edges(spark, sf).write.mode("append").csv(path, sep="\t")
+    return links.node_links(delimited.read_edges(spark, path), 1)
+
+
+def _rating_file(spark, sf, name: str) -> DataFrame:
+    path = shared_folder(spark, name)
+    rating = F.concat_ws("::", "user", "item", F.col("rating").cast("int"), F.lit(978300760))
+    tables.ratings(spark, sf).select(rating).write.text(path)
+    return delimited.read_ratings(spark, path)
+
+
+def rating_file_user_similarity(spark, sf) -> DataFrame:
+    """Similarity of all users to one user, from a ratings file separated by ``::``."""
+    found = similarity.user_similarity(_rating_file(spark, sf, "user-ratings"), 1, "UserID", "MovieID", "Rating")
+    return found.select(F.col("UserID").alias("user"), F.round("similarity", 9).alias("similarity"))
+
+
+def rating_file_item_similarity(spark, sf) -> DataFrame:
+    """Similarity of all items to one item, from a ratings file separated by ``::``."""
+    found = similarity.item_similarity(_rating_file(spark, sf, "item-ratings"), 1, "UserID", "MovieID", "Rating")
+    return found.select(F.col("MovieID").alias("item"), F.round("similarity", 9).alias("similarity"))
+
+
 QUERIES = [
     power_file_summary, news_file_word_counts, feedback_files_hourly, movie_files_average_rating, user_file_ages,
     edge_file_degrees, hire_files_forecast, gps_file_rides, zone_file_bounds, article_files_documents,
     word_files_by_topic, top_word_file, degree_files_sorted, signature_files, link_files,
+    news_file_texts, word_files_by_case_and_day, article_file_ids, matrix_files, signature_matrix_files,
+    wide_average_files, link_lines, edge_file_in_degrees, edge_file_links, rating_file_user_similarity, rating_file_item_similarity,
 ]

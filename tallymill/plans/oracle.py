@@ -58,6 +58,30 @@ WITH {WORDS}, kept AS (
 SELECT a.word AS word, {cells} FROM kept a JOIN kept b USING (doc_id) GROUP BY a.word"""
 
 
+CASES = f"""words AS (
+  SELECT doc_id, "case", topic, unnest(string_split({CLEAN}, ' ')) AS word
+  FROM (SELECT doc_id, lang AS topic, 'Title' AS "case", split_part(text, chr(10), 1) AS text FROM documents
+        UNION ALL SELECT doc_id, lang, 'Headline', text FROM documents)),
+top AS (
+  SELECT "case", topic, word, row_number() OVER (PARTITION BY "case", topic ORDER BY count(*) DESC, word) AS rank
+  FROM words WHERE topic IN ({TOPIC_LIST}) AND word IS NOT NULL GROUP BY "case", topic, word QUALIFY rank <= {catalog.TOP_WORDS})"""
+
+
+def _matrices() -> str:
+    """Row words against column words by rank, from the plain self-join of all occurrences in a document."""
+    cells = ", ".join(f"coalesce(sum(a.m * b.m) FILTER (WHERE b.rank = {r}), 0)::BIGINT AS n{r}" for r in range(1, catalog.TOP_WORDS + 1))
+    return f"""
+WITH {CASES}, kept AS (
+  SELECT doc_id, "case", topic, word, rank, count(*) AS m FROM words JOIN top USING ("case", topic, word) GROUP BY ALL)
+SELECT a."case", a.topic, a.rank::INT AS rank, a.word, {cells}
+FROM kept a JOIN kept b ON a.doc_id = b.doc_id AND a."case" = b."case" AND a.topic = b.topic GROUP BY ALL"""
+
+
+def _headers() -> str:
+    named = ", ".join(f"max(word) FILTER (WHERE rank = {r}) AS w{r}" for r in range(1, catalog.TOP_WORDS + 1))
+    return f"""WITH {CASES} SELECT "case", topic, {named} FROM top GROUP BY ALL"""
+
+
 TICKS = f"""ticks AS (
   SELECT entity, block, slot, coalesce(v, 0) AS v
   FROM (SELECT DISTINCT event_type AS entity, date_diff('day', DATE '{tables.FIRST_DAY}', ts::DATE) // 2 AS block FROM events)
@@ -247,6 +271,31 @@ WITH {WORDS}, counts AS (SELECT topic, word, count(*) AS n FROM words GROUP BY A
 SELECT topic, regexp_replace(word, '[{SPACE}]', '~', 'g') AS word, n FROM counts"""
 SIGNATURE_FILES = f"SELECT hash_idx, minhash FROM ({_minhash(16)})"
 
+NEWS_TEXTS = """
+SELECT doc_id, split_part(text, chr(10), 1) AS "Title", text AS "Headline", '' AS "Source", lang AS "Topic",
+       DATE '2015-11-01' + (doc_id % 30)::INT AS day FROM documents"""
+CASE_DAY_FILES = f"""
+WITH cases AS (
+  SELECT 'Title' AS "case", doc_id, split_part(text, chr(10), 1) AS text FROM documents
+  UNION ALL SELECT 'Headline', doc_id, text FROM documents),
+words AS (SELECT "case", DATE '2015-11-01' + (doc_id % 30)::INT AS day, unnest(string_split({CLEAN}, ' ')) AS word FROM cases)
+SELECT "case", day::DATE AS day, word, count(*) AS n FROM words GROUP BY ALL"""
+ARTICLE_IDS = "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, text AS body FROM documents"
+MATRIX_FILES = f"""
+WITH {CASES}, kept AS (
+  SELECT doc_id, "case", topic, word, count(*) AS m FROM words SEMI JOIN top USING ("case", topic, word) GROUP BY ALL)
+SELECT a."case", a.topic, a.word AS word_a, b.word AS word_b, sum(a.m * b.m)::BIGINT AS n
+FROM kept a JOIN kept b ON a.doc_id = b.doc_id AND a."case" = b."case" AND a.topic = b.topic GROUP BY ALL"""
+SIGNATURE_MATRIX = f"""
+SELECT hash_idx, row_number() OVER (PARTITION BY hash_idx ORDER BY doc_id) - 1 AS position, doc_id, minhash
+FROM ({_minhash(catalog.HASHES)})"""
+WIDE_AVERAGES = f"""
+SELECT 'hour' AS kind, entity, block, slot, avg_hour AS average FROM ({_hourly(1)})
+UNION ALL SELECT 'day', entity, block, slot, avg_day FROM ({_daily(1, 1)})"""
+LINK_LINES = """
+SELECT coalesce(string_agg(l_suppkey::VARCHAR, ',' ORDER BY l_suppkey), '') AS value FROM lineitem WHERE l_partkey = 1
+UNION ALL SELECT coalesce(string_agg(l_partkey::VARCHAR, ',' ORDER BY l_partkey), '') FROM lineitem WHERE l_suppkey = 1"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -264,6 +313,8 @@ def oracle_sql() -> dict[str, str]:
         "top_words_by_topic": TOP_WORDS,
         "cooccurrence": COOCCURRENCE,
         "cooccurrence_matrix": _matrix(),
+        "cooccurrence_matrices": _matrices(),
+        "cooccurrence_headers": _headers(),
         "doc_shingles": DOC_SHINGLES,
         "doc_shingles_md5": DOC_SHINGLES_MD5,
         "shingle_doc_matrix": SHINGLE_DOC_MATRIX,
@@ -304,4 +355,15 @@ def oracle_sql() -> dict[str, str]:
         "degree_files_sorted": IN_DEGREE,
         "signature_files": SIGNATURE_FILES,
         "link_files": NODE_LINKS,
+        "news_file_texts": NEWS_TEXTS,
+        "word_files_by_case_and_day": CASE_DAY_FILES,
+        "article_file_ids": ARTICLE_IDS,
+        "matrix_files": MATRIX_FILES,
+        "signature_matrix_files": SIGNATURE_MATRIX,
+        "wide_average_files": WIDE_AVERAGES,
+        "link_lines": LINK_LINES,
+        "edge_file_in_degrees": IN_DEGREE,
+        "edge_file_links": NODE_LINKS,
+        "rating_file_user_similarity": _similarity("o_custkey", "l_partkey"),
+        "rating_file_item_similarity": _similarity("l_partkey", "o_custkey"),
     }

@@ -34,6 +34,16 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return df.select("doc_id", "text", F.col("lang").alias("topic"), day.alias("day"))
 
 
+def cases(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, topic, case, text): the first line of a document is its title, the whole text its headline."""
+    docs = documents(spark, folder)
+    both = F.array(
+        F.struct(F.lit("Title").alias("case"), F.substring_index("text", "\n", 1).alias("text")),
+        F.struct(F.lit("Headline").alias("case"), F.col("text")),
+    )
+    return docs.select("doc_id", "topic", F.inline(both))
+
+
 def scores(spark: SparkSession, folder: str) -> DataFrame:
     """(topic, quality, toxic) of the labelled documents."""
     topics = load(spark, folder, "documents").select("doc_id", F.col("lang").alias("topic"))

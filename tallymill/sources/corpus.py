@@ -7,9 +7,10 @@ the next tag, and the five predefined entities are decoded.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallymill.functions.text import with_plain_words
+from tallymill.session import written_table
 from tallymill.sources import schemas
 
 # Predefined entities, the ampersand last so that nothing is decoded twice.
@@ -49,11 +50,20 @@ def read_large_corpus(spark: SparkSession, path, closing_tag: str, body_tag: str
     """(file, position, body, words) of files of any size, cut at the exact closing tag.
 
     A file is split over tasks between records; a piece holds several records where closing
-    tags are missing or written otherwise, and all of them are returned. ``position`` is unique
-    and grows within a file but has gaps and depends on the splits.
+    tags are missing or written otherwise, and all of them are returned. ``position`` counts the
+    records of a file from 0, however it was split: records are numbered within their split, and the
+    numbers of records in the splits before are added. The records are written once, so that both
+    counts speak of the same reading.
     """
-    pieces = spark.read.text(path, lineSep=closing_tag).select(F.col("_metadata.file_name").alias("file"), "value")
-    found = records(pieces, "value", ["file"], closing_tag.strip("</>")).drop("position")
-    position = F.monotonically_increasing_id().alias("position")
-    bodies = found.select("file", position, body_text(F.col("record"), body_tag).alias("body"))
+    pieces = spark.read.text(path, lineSep=closing_tag).select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value"
+    )
+    own = ["file", "split"]
+    found = records(pieces, "value", own, closing_tag.strip("</>")).drop("position")
+    found = written_table(found.withColumn("n", F.monotonically_increasing_id()), "records")
+    # Numbers run on within a split, as one task reads it from end to end.
+    splits = found.groupBy(*own).agg(F.min("n").alias("least"), F.count("*").alias("records"))
+    before = F.sum("records").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1))
+    shift = splits.select(*own, (F.coalesce(before, F.lit(0)) - F.col("least")).alias("shift"))
+    bodies = found.join(shift, own).select("file", (F.col("n") + F.col("shift")).alias("position"), body_text(F.col("record"), body_tag).alias("body"))
     return with_plain_words(bodies, "body", ["file", "position", "body"])

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallymill.functions.calendar import leading_day, leading_second
-from tallymill.sources import schemas
+from tallymill.sources import quoted, schemas
 
 
 def read_delimited(spark: SparkSession, path, schema: str, **options) -> DataFrame:
@@ -27,6 +27,11 @@ def read_news(spark: SparkSession, path) -> DataFrame:
     return read_delimited(spark, path, schemas.NEWS, sep=",", header=True, quote='"', escape='"')
 
 
+def read_news_with_breaks(spark: SparkSession, path) -> DataFrame:
+    """News items whose quoted fields may hold line breaks; files of any size are read from splits."""
+    return quoted.read_quoted(spark, path, schemas.NEWS)
+
+
 def read_feedback(spark: SparkSession, folder: str, ticks: int = 144) -> DataFrame:
     """All ``<platform>_*.csv`` files of a folder (or directories) of a folder in one read, with a ``platform`` column."""
     names = ",".join(schemas.PLATFORMS)

@@ -88,3 +88,9 @@ def test_forest_takes_unseen_zones(spark, labelled):
     test = spark.createDataFrame([(1, 99, MON, 8)], "test_id int, zone int, day date, hour int")
     row = forest.forest_forecast(model, test).first()
     assert isinstance(row.hires, int) and row.test_id == 1
+
+
+def test_rectangles_without_a_zone_count_for_the_overall_box(spark):
+    df = spark.createDataFrame([(1, 0.0, 9.0, 5.0, 4.0), (None, -3.0, 12.0, 1.0, 2.0)], "zone int, left double, top double, right double, bottom double")
+    got = [(r.zone, r.left, r.right, r.bottom, r.top) for r in demand.zone_bounds(df).orderBy(demand.F.asc_nulls_last("zone")).collect()]
+    assert got == [(1, 0.0, 5.0, 4.0, 9.0), (None, -3.0, 5.0, 2.0, 12.0)]

@@ -169,3 +169,66 @@ def test_records_without_closing_tag_are_kept(spark, tmp_path):
     small = corpus.read_corpus(spark, str(path)).orderBy("position")
     large = corpus.read_large_corpus(spark, str(path), closing_tag="</REUTERS>").orderBy("position")
     assert [r.body for r in small.collect()] == [r.body for r in large.collect()] == ["one", "two", "three", "four"]
+
+
+def in_splits(spark, size, build):
+    setting = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in setting}
+    for k, v in setting.items():
+        spark.conf.set(k, v)
+    try:
+        return build().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_record_ids_do_not_depend_on_the_splits(spark, tmp_path):
+    for name, n in (("a.sgm", 300), ("b.sgm", 7)):
+        text = "".join(f'<REUTERS ID="{i}"><BODY>{name} {i}</BODY>{"</REUTERS>" if i % 5 else ""}\n' for i in range(n))
+        put(tmp_path / "c", name, "<!DOCTYPE x>\n" + text)
+    read = lambda: corpus.read_large_corpus(spark, str(tmp_path / "c"), closing_tag="</REUTERS>")
+    expected = [(name, i, f"{name} {i}") for name, n in (("a.sgm", 300), ("b.sgm", 7)) for i in range(n)]
+    for size in ("128m", "4k", "700b"):
+        assert sorted((r.file, r.position, r.body.strip()) for r in in_splits(spark, size, read)) == expected
+
+
+def test_whole_lines_without_trailing_commas(spark, tmp_path):
+    edges = spark.range(5000).select(F.lit(0).alias("src"), F.col("id").alias("dst")).union(spark.range(3, 4).select("id", F.lit(0)))
+    writers.write_link_lines(links.node_links(edges, 0), str(tmp_path / "l"))
+    assert joined(tmp_path / "l") == ",".join(map(str, sorted([*range(5000)]))) + "\n0,3\n"
+    empty = links.node_links(edges, 77_777)
+    writers.write_link_lines(empty, str(tmp_path / "l"))
+    assert joined(tmp_path / "l") == "\n\n"
+
+
+def test_single_file_is_joined_from_sorted_parts(spark, tmp_path):
+    df = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 'a,"b').otherwise("c").alias("odd, name"))
+    writers.write_single(df.repartition(7), str(tmp_path / "o"), [F.desc("id")], header=True)
+    (part,) = (tmp_path / "o").glob("part-*")
+    lines = part.read_text().splitlines()
+    assert lines[0] == 'id,"odd, name"' and [int(line.split(",")[0]) for line in lines[1:]] == list(range(999, -1, -1))
+    assert [tuple(r) for r in spark.read.csv(str(tmp_path / "o"), header=True, escape="\\", schema="id bigint, x string").limit(1).collect()] == [(999, 'a,"b')]
+    writers.write_single(df.limit(0), str(tmp_path / "o"), ["id"], header=True)
+    assert joined(tmp_path / "o") == 'id,"odd, name"\n'
+
+
+def test_signature_matrix_in_pieces(spark):
+    from tallymill.operators import shingles
+
+    df = spark.createDataFrame([(i * 3, f"w{i} x y z w{i % 5}") for i in range(101)] + [(None, "a b c")], "doc_id bigint, text string")
+    arrays = shingles.minhash_arrays(df, num_hashes=7)
+    ordered = sorted((r for r in arrays.collect() if r.doc_id is not None), key=lambda r: r.doc_id)
+    expected = sorted((h, at, r.doc_id, r.signature[h]) for at, r in enumerate(ordered) for h in range(7))
+    for block in (4096, 10):
+        cells = shingles.matrix_cells(shingles.signature_pieces(arrays, block=block))
+        assert sorted(tuple(r) for r in cells.collect()) == expected
+
+
+def test_matrix_files_have_a_line_of_words(spark, tmp_path):
+    df = spark.createDataFrame([(1, "t", "a a  b"), (2, "u", "c")], "doc_id int, topic string, text string")
+    top = words.top_words_by_topic(df, ["t", "u"], 3)
+    matrices = words.cooccurrence_matrices(words.cooccurrence_cells(df, top, "doc_id", ["topic"]), ["topic"], 3)
+    writers.write_matrices(matrices, words.matrix_headers(top, ["topic"], 3), str(tmp_path / "m"), ["topic"], 3)
+    assert joined(tmp_path / "m" / "topic=t") == '"word_word","a","","b"\n"a","4","2","2"\n"","2","1","1"\n"b","2","1","1"\n'
+    assert joined(tmp_path / "m" / "topic=u").splitlines()[1] == '"c","1","0","0"'

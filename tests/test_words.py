@@ -1,6 +1,7 @@
 import datetime
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallymill.functions import text
@@ -63,6 +64,15 @@ def test_top_words_break_ties_by_word(spark):
     assert [(r.word, r.n, r["rank"]) for r in top] == [("a", 2, 1), ("b", 1, 2)]
 
 
+@pytest.mark.parametrize("levels", [(), (4,), (12, 4, 2)])
+def test_top_rows_by_merging_levels(spark, levels):
+    df = spark.range(500).select((F.col("id") % 2).alias("g"), F.concat(F.lit("w"), "id").alias("word"), (F.col("id") % 7).alias("n"))
+    got = top_per_group(df, ["g"], [F.desc("n"), F.asc("word")], 20, "word", levels).collect()
+    for g in (0, 1):
+        expected = [w for _, w in sorted((-r.n, r.word) for r in df.where(f"g = {g}").collect())[:20]]
+        assert [r.word for r in sorted((r for r in got if r.g == g), key=lambda r: r["rank"])] == expected
+
+
 def test_large_k_ranks_in_two_steps_with_the_same_result(spark, rows):
     df = spark.range(5000).select((F.col("id") % 2).alias("g"), F.concat(F.lit("w"), "id").alias("word"), (F.col("id") % 97).alias("n"))
     order = [F.desc("n"), F.asc("word")]
@@ -87,7 +97,7 @@ def vocabulary(spark, *listed):
 
 
 def test_cooccurrence_counts_occurrence_pairs(spark, rows):
-    cells = words.cooccurrence(texts(spark, "a a b", "a c"), vocabulary(spark, "a", "b", "c"), 3, "doc_id", ["topic"])
+    cells = words.cooccurrence(texts(spark, "a a b", "a c"), vocabulary(spark, "a", "b", "c"), "doc_id", ["topic"])
     expected = [("a", "a", 5), ("a", "b", 2), ("a", "c", 1), ("b", "a", 2), ("b", "b", 1), ("c", "a", 1), ("c", "c", 1)]
     assert rows(cells, "word_a", "word_b", "n") == expected
 
@@ -96,13 +106,29 @@ def test_cooccurrence_against_brute_force_with_and_without_broadcast(spark, rows
     docs = ["x y  x z", "y y y q", "z", "", "x z z y x x", None]
     listed = ["x", "y", "z", ""]
     expected = brute_pairs([d for d in docs if d is not None], set(listed))
-    for bound in (4, 2_000_000):
-        cells = words.cooccurrence(texts(spark, *docs), vocabulary(spark, *listed), bound, "doc_id", ["topic"])
-        assert {(r.word_a, r.word_b): r.n for r in cells.collect()} == dict(expected)
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    for bound in (before, "-1"):
+        spark.conf.set(setting, bound)
+        try:
+            cells = words.cooccurrence(texts(spark, *docs), vocabulary(spark, *listed), "doc_id", ["topic"]).collect()
+        finally:
+            spark.conf.set(setting, before)
+        assert {(r.word_a, r.word_b): r.n for r in cells} == dict(expected)
+
+
+def test_matrices_of_several_keys_go_by_rank(spark):
+    df = spark.createDataFrame([(1, "t", "a a b"), (2, "u", "b c"), (3, "u", "c"), (4, "u", None)], "doc_id int, topic string, text string")
+    top = words.top_words_by_topic(df, ["t", "u"], 3)
+    cells = words.cooccurrence_cells(df, top, "doc_id", ["topic"])
+    got = {(r.topic, r["rank"]): (r.word, r.n1, r.n2, r.n3) for r in words.cooccurrence_matrices(cells, ["topic"], 3).collect()}
+    assert got == {("t", 1): ("a", 4, 2, 0), ("t", 2): ("b", 2, 1, 0), ("u", 1): ("c", 2, 1, 0), ("u", 2): ("b", 1, 1, 0)}
+    headers = {r.topic: (r.w1, r.w2, r.w3) for r in words.matrix_headers(top, ["topic"], 3).collect()}
+    assert headers == {"t": ("a", "b", None), "u": ("c", "b", None)}
 
 
 def test_matrix_is_square_with_zeros(spark, rows):
-    cells = words.cooccurrence(texts(spark, "a a b", "a c"), vocabulary(spark, "a", "b", "c"), 3, "doc_id", ["topic"])
+    cells = words.cooccurrence(texts(spark, "a a b", "a c"), vocabulary(spark, "a", "b", "c"), "doc_id", ["topic"])
     assert rows(words.cooccurrence_matrix(cells, ["a", "b", "c"])) == [("a", 5, 2, 1), ("b", 2, 1, 0), ("c", 1, 0, 1)]
 
 
