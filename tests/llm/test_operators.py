@@ -281,7 +281,7 @@ def test_pipeline(spark, tmp_path, docs):
         now.write.parquet(f"{folder}/{name}")
         now = spark.read.parquet(f"{folder}/{name}")
         if name == "near_dedup":
-            prints = {r.doc_id: brute_prints(r.text, 5) for r in before.collect()}
+            prints = {r.doc_id: brute_prints(r.text, 3) for r in before.collect()}
             root = linked(prints, lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 3)
             assert sorted(r.doc_id for r in now.collect()) == sorted(set(root.values()))
     uses = collections.Counter(r.doc_id for r in now.collect())
