@@ -144,8 +144,22 @@ class Mix:
         self.pieces = schedule(spark, goals.select("sid", "target"), block).join(parts, ["sid", "rank"])
 
     def taken(self) -> DataFrame:
-        """``documents`` with ``taken``: the words that the slots take of each, repeats counted."""
-        sums = self.pieces.groupBy("sid", "at", "size", "id").agg(F.sum("words").alias("taken"))
+        """``documents`` with what the slots take of each: ``taken`` words, repeats counted, in ``n_slots`` from ``first_slot`` on.
+
+        A slot counts once for each turn in which it takes words of the document; ``first_slot`` is null for documents
+        that the mix does not use.
+        """
+        measures = F.sum("words").alias("taken"), F.count("*").alias("n_slots"), F.min("slot").alias("first_slot")
+        sums = self.pieces.groupBy("sid", "at", "size", "id").agg(*measures)
         same = F.expr("d.sid = s.sid and d.at = s.at and d.size = s.size and d.id <=> s.id")
         both = self.documents.alias("d").join(sums.alias("s"), same, "left")
-        return both.select("d.*", F.coalesce("s.taken", F.lit(0)).alias("taken"))
+        counts = [F.coalesce(f"s.{c}", F.lit(0)).alias(c) for c in ("taken", "n_slots")]
+        return both.select("d.*", *counts, "s.first_slot")
+
+    def uses(self) -> DataFrame:
+        """``documents`` with ``uses``: for each turn in which it is used, where the mix comes to it (slot, rank, at)."""
+        start = F.struct("slot", "rank", "at")
+        turns = self.pieces.groupBy("sid", "at", "size", "id", "turn").agg(F.min(start).alias("start"))
+        starts = turns.groupBy("sid", "at", "size", "id").agg(F.sort_array(F.collect_list("start")).alias("uses"))
+        same = F.expr("d.sid = s.sid and d.at = s.at and d.size = s.size and d.id <=> s.id")
+        return self.documents.alias("d").join(starts.alias("s"), same).select("d.*", "uses")

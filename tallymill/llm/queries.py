@@ -57,7 +57,7 @@ def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixing.Mix(load(spark, folder, "documents"))
-    return mix.taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return mix.taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "first_slot", "n_slots")
 
 
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
@@ -222,13 +222,32 @@ ORACLE_SQL = {
                      CASE WHEN most / weight <= level THEN most
                           ELSE weight * max(CASE WHEN most / weight > level THEN level END) OVER () END AS target
               FROM l),
-        c AS (SELECT d.doc_id, d.size, t.source_size, t.target,
+        c AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
                      sum(d.size) OVER (PARTITION BY t.source ORDER BY d.o, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS pos
-              FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+              FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+        n AS (SELECT source, row_number() OVER (ORDER BY source NULLS LAST) AS sid, target FROM t),
+        g AS (SELECT *, CAST(ceil(floor(target) / 64) AS BIGINT) AS blocks, sum(target) OVER (ORDER BY sid) / sum(target) OVER () AS upper,
+                     lead(sid) OVER (ORDER BY sid) IS NULL AS final
+              FROM n WHERE target >= 1),
+        h AS (SELECT *, CASE WHEN final THEN 1.0 ELSE upper END AS high, coalesce(lag(upper) OVER (ORDER BY sid), 0.0) AS low FROM g),
+        j AS (SELECT slot, ((slot + 1) * 0.6180339887498949::DOUBLE) % 1.0::DOUBLE AS point
+              FROM (SELECT unnest(range(0, coalesce((SELECT CAST(sum(blocks) AS BIGINT) FROM g), 0))) AS slot)),
+        m AS (SELECT slot, source, sid, blocks, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank FROM j JOIN h ON point >= low AND point < high),
+        z AS (SELECT h.source, h.sid, unnest(range(coalesce(got, 0), blocks)) AS rank
+              FROM h LEFT JOIN (SELECT sid, count(*) AS got FROM m GROUP BY sid) USING (sid)),
+        o AS (SELECT source, rank, slot FROM m WHERE rank < blocks
+              UNION ALL SELECT source, rank, (SELECT count(*) FROM j) + row_number() OVER (ORDER BY sid, rank) - 1 FROM z),
+        y AS (SELECT row_number() OVER () AS r, * FROM c),
+        k AS (SELECT r, source, turn * source_size + pos AS low, least(turn * source_size + pos + size, floor(target)) AS high
+              FROM y, (SELECT unnest([0, 1]) AS turn)),
+        q AS (SELECT r, min(slot) AS first_slot, count(*) AS n_slots
+              FROM (SELECT r, source, unnest(range(CAST(floor(low / 64) AS BIGINT), CAST(floor((high - 1) / 64) AS BIGINT) + 1)) AS rank FROM k WHERE high > low) x
+              JOIN o ON x.rank = o.rank AND x.source IS NOT DISTINCT FROM o.source GROUP BY r)
         SELECT doc_id, size, source_size, target,
                CAST(greatest(0, least(pos + size, floor(target)) - pos)
-                    + greatest(0, least(source_size + pos + size, floor(target)) - source_size - pos) AS BIGINT) AS taken
-        FROM c""",
+                    + greatest(0, least(source_size + pos + size, floor(target)) - source_size - pos) AS BIGINT) AS taken,
+               first_slot, coalesce(n_slots, 0) AS n_slots
+        FROM y LEFT JOIN q USING (r)""",
 }
 
 

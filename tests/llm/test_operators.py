@@ -234,7 +234,37 @@ def test_mixing(spark, docs, texts, nothing):
     for source in {r.source for r in rows}:
         own = [r for r in rows if r.source == source]
         assert sum(r.taken for r in own) == math.floor(own[0].target) and own[0].target <= 2 * own[0].source_size
-    assert mixing.Mix(nothing).taken().count() == 0
+    assert mixing.Mix(nothing).taken().count() == 0 and mixing.Mix(nothing).uses().count() == 0
+
+
+def test_slots_follow_the_golden_ratio(spark, docs):
+    mix = mixing.Mix(docs, block=8)
+    pieces = mix.pieces.collect()
+    goals = {r.sid: r.target for r in mix.documents.collect() if r.target >= 1}
+    blocks = {sid: math.ceil(math.floor(t) / 8) for sid, t in goals.items()}
+    total, upper, edges = sum(goals.values()), 0.0, []
+    for sid in sorted(goals):
+        upper += goals[sid]
+        edges.append((upper / total if sid < max(goals) else 1.0, sid))
+    rank, slots, n = dict.fromkeys(goals, 0), {}, sum(blocks.values())
+    for slot in range(n):
+        sid = next(sid for edge, sid in edges if (slot + 1) * mixing.GOLDEN % 1 < edge)
+        if rank[sid] < blocks[sid]:
+            slots[sid, rank[sid]] = slot
+        rank[sid] += 1
+    late = [(sid, r) for sid in sorted(goals) for r in range(min(rank[sid], blocks[sid]), blocks[sid])]
+    slots |= {key: n + i for i, key in enumerate(late)}
+    assert {((p.sid, p["rank"]), p.slot) for p in pieces} == set(slots.items())
+    by_doc = collections.defaultdict(list)
+    for p in pieces:
+        by_doc[p.sid, p["at"], p["size"], p.id, p.turn].append((p.slot, p["rank"], p["at"]))
+    uses = {(r.sid, r["at"], r["size"], r.id): [tuple(u) for u in r.uses] for r in mix.uses().collect()}
+    expected = collections.defaultdict(list)
+    for (*doc, _), own in by_doc.items():
+        expected[tuple(doc)].append(min(own))
+    assert uses == {doc: sorted(own) for doc, own in expected.items()}
+    taken = {(r.sid, r["at"], r["size"], r.id): (r.n_slots, r.first_slot) for r in mix.taken().collect() if r.taken}
+    assert taken == {doc: (sum(len(v) for (*d, _), v in by_doc.items() if tuple(d) == doc), min(own)[0]) for doc, own in expected.items()}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
