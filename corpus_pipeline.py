@@ -45,14 +45,14 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix, each as often as the mix starts on it.
+    """The documents of the mix in the order of its slots, each as often as the mix starts on it.
 
-    A document of which the mix takes some words in a turn is there for that turn, whole: a
-    source exceeds its target by part of one document. Those it takes no word of go. Rows that agree
-    in id, source and size are exchangeable, and are paired off in the order of their hash.
+    A document of which the mix takes some words in a turn is there for that turn, whole, at the first
+    of its slots: a source exceeds its target by part of one document. Those it takes no word of go. Rows that agree
+    in id, source and size, repeated rows included, are exchangeable, and are paired off in the order of
+    their hash. An empty table stays empty.
     """
-    taken = mixing.Mix(docs).taken().where("taken > 0")
-    uses = F.ceil(F.col("taken") / F.col("size"))
+    used = mixing.Mix(docs).uses()
 
     def name(doc_id, source, size):
         columns = [(F.col(doc_id), 0), (F.col(source), "")]
@@ -60,13 +60,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return [*nulls, *(F.coalesce(c, F.lit(v)).alias(f"key{i}") for i, (c, v) in enumerate(columns)), size.alias("size")]
 
     keys = ["none0", "none1", "key0", "key1", "size"]
-    used = taken.select(*name("id", "source", F.col("size")), uses.alias("uses"))
-    used = used.groupBy(*keys).agg(F.sort_array(F.collect_list("uses"), asc=False).alias("uses"))
+    used = used.select(*name("id", "source", F.col("size")), "uses")
+    used = used.groupBy(*keys).agg(F.sort_array(F.collect_list("uses")).alias("uses"))
     rows = docs.select(F.struct("*").alias("row"))
     rows = rows.select("row", *name("row.doc_id", "row.source", mixing.words(F.col("row.text"))), F.xxhash64("row").alias("h"))
     rows = rows.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("h")))
-    both = rows.join(used, keys).withColumn("times", F.coalesce(F.get("uses", F.col("place") - 1), F.lit(0)))
-    return both.where("times > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select("row.*")
+    starts = rows.join(used, keys).select("row", "h", F.explode(F.get("uses", F.col("place") - 1)).alias("start"))
+    return starts.orderBy("start", "h").select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
