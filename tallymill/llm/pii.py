@@ -23,26 +23,52 @@ WIDE = 64
 _FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
 #: What stands before the value of a secret, in any case, with or without blanks and quotes.
-_KEYWORD = r"""(?i:password|token|api_key)["']?[ \t]*[=:][ \t]*["']?"""
+_NAMES = r"(?:pass(?:word|wd|phrase)|pwd|token|(?:api|access|auth|secret|private|encryption)[_-]?key|client[_-]secret|secret|credentials?)"
+_KEYWORD = rf"""(?i:{_NAMES})["']?[ \t]*[=:][ \t]*["']?"""
+_EMAIL = r"[\w.%+-]+@[\w-]+\.[\w]"
+
+# Month names in the four languages of the corpus, shortened English ones, and country calling
+# codes of one and two digits; all other codes have three.
+_MONTHS = {
+    "en": "January February March April May June July August September October November December",
+    "short": "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec",
+    "de": "Januar Februar März April Mai Juni Juli August September Oktober November Dezember",
+    "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "es": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+}
+_MONTHS = {language: names.split() for language, names in _MONTHS.items()}
+_CODES = {"1", "7"} | set(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
+_MONTH = "|".join(sorted({n for names in _MONTHS.values() for n in names}, key=lambda n: (-len(n), n)))
 
 # The written forms that are looked for. Order decides where two start at one place.
 FORMS = {
-    "email": r"(?<![\w.+%-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?<![\w.+%-])[\w.%+-]+@[\w-]+(?:\.[\w-]+)+",
     "secret": r"(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9])"
-    rf"|{_KEYWORD}(?!{_KEYWORD}|[\w.%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9])(?P<value>[\w+/-]{{8,}})"
+    r"|-----BEGIN (?P<key>[A-Z ]*PRIVATE KEY)-----(?P<block>(?:[^-]|-(?!----))+)-----END (?P=key)-----"
+    r"|(?<![A-Za-z])(?i:bearer)[ \t]+(?P<bearer>[\w.~+/-]{16,}=*)"
+    r"|(?<![\w-])(?P<jwt>eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,})"
+    rf"""|(?i:{_NAMES})["']?[ \t]*[=:][ \t]*(?P<mark>["'])(?!{_EMAIL})(?P<quoted>[^"'\s]{{4,}})(?P=mark)"""
+    rf"""|{_KEYWORD}(?!{_KEYWORD}|{_EMAIL})(?P<value>[\w+/-]{{8,}}(?:[^\s"'<>,;(){{}}\[\]]*[\w+/=-])?|(?=[^\s"'<>,;]*[\W_])(?=[^\s"'<>,;]*[0-9])[^\s"'<>,;()]{{7,}}[\w+/=-])"""
     r"|(?<![0-9A-Za-z])(?=[a-fA-F]*[0-9])(?=[0-9]*[a-fA-F])[0-9a-fA-F]{32,}(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
-    "ip": r"(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[\w])",
-    "date": r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?!(?![Tt](?:[01][0-9]|2[0-4]))[\w/-]|\.[0-9])",
+    "ip": r"(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[\w])|(?<![\w:.])(?=[0-9A-Fa-f:]*[0-9])[0-9A-Fa-f]{1,4}:(?:[0-9A-Fa-f]{0,4}:){1,6}[0-9A-Fa-f]{0,4}(?![\w:])",
+    "date": rf"(?<![\w./-])(?:(?:{_MONTH})\.? [0-9]{{1,2}}(?:st|nd|rd|th)?,? [0-9]{{4}}|[0-9]{{1,2}}(?:\.|st|nd|rd|th)? (?:de )?(?:{_MONTH})\.?,? (?:de )?[0-9]{{4}})(?![\w-])"
+    r"|(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?!(?![Tt](?:[01][0-9]|2[0-4]))[\w/-]|\.[0-9])",
     "card": r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-]|\.[0-9])",
     "ssn": r"(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]|\.[0-9])",
-    "phone": r"(?<![\w.+-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-]?[0-9]{4}(?![\w-]|\.[0-9])",
+    "phone": r"(?<![\w.+-])\+[1-9](?:[ .-]?\(?[0-9]\)?){6,14}(?![\w-]|\.[0-9])"
+    r"|(?<![\w.+-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-]?[0-9]{4}(?![\w-]|\.[0-9])",
 }
 _FIND = re.compile("|".join(f"(?P<{kind}>{FORMS[kind]})" for kind in KINDS))
 _ONE = {kind: re.compile(form) for kind, form in FORMS.items()}
 #: Forms that take further groups of digits or letters after a blank or hyphen: a shorter value may end before each.
 _GROUPED = {"iban": re.compile("(?= )"), "card": re.compile("(?=[ -])")}
-_MAYBE = re.compile("[0-9@]|AKIA|(?i:password|token|api_key)")
+_MAYBE = re.compile(r"[0-9@]|AKIA|eyJ|PRIVATE KEY|(?i:pass|pwd|token|key|secret|credential|bearer)")
+#: Small letters of the corpus's languages beyond ASCII, a class of their own.
+_ACCENTED = "àáâäæçèéêëíîïñóôöœùúûüÿß"
+_WRITTEN = re.compile(rf"(?P<day>[0-9]{{1,2}})(?![0-9])|(?P<month>{_MONTH})|(?P<year>[0-9]{{4}})")
 
 
 class Pseudonyms:
@@ -73,10 +99,8 @@ class Pseudonyms:
         if len(text) > WIDE:
             return "".join(self.characters(kind, text[i : i + WIDE]) for i in range(0, len(text), WIDE))
         hexadecimal = kind == "secret" and re.fullmatch("[0-9a-f]{16,}", text)
-        sets = [
-            "0123456789abcdef" if hexadecimal else next((s for s in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") if c in s), c)
-            for c in text
-        ]
+        classes = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", _ACCENTED)
+        sets = ["0123456789abcdef" if hexadecimal else next((s for s in classes if c in s), c) for c in text]
         value, n = 0, 1
         for c, s in zip(text, sets):
             value, n = value * len(s) + s.index(c), n * len(s)
@@ -105,12 +129,43 @@ class Pseudonyms:
         return _laid(text, f"{plain[:2]}{98 - number(account + plain[:2] + '00') % 97:02d}{account}")
 
     def _ip(self, text: str) -> str | None:
+        if ":" in text:
+            try:
+                address = ipaddress.IPv6Address(text)
+            except ValueError:
+                return None
+            if address.is_loopback or address.is_unspecified:
+                return None
+            new = ipaddress.IPv6Address(self.permute("ip6", int(address), 1 << 128))
+            return str(new).upper() if text.isupper() else str(new)
         parts = text.split(".")
         if any(int(p) > 255 or p != str(int(p)) for p in parts):
             return None
         return str(ipaddress.IPv4Address(self.permute("ip", int(ipaddress.IPv4Address(text)), 1 << 32)))
 
+    def _written(self, text: str) -> str | None:
+        """A date with the name of its month; the new one has a name of the same language, or of the first that fits."""
+        found = {m.lastgroup: m for m in _WRITTEN.finditer(text)}
+        if set(found) != {"day", "month", "year"}:
+            return None
+        names = next(names for names in _MONTHS.values() if found["month"][0] in names)
+        try:
+            day = datetime.date(int(found["year"][0]), names.index(found["month"][0]) + 1, int(found["day"][0])).toordinal()
+        except ValueError:
+            return None
+        if not _FIRST <= day <= _LAST:
+            return None
+        new = datetime.date.fromordinal(_FIRST + self.permute("date", day - _FIRST, _LAST - _FIRST + 1))
+        parts = {"day": str(new.day), "month": names[new.month - 1], "year": f"{new.year:04d}"}
+        out, done = [], 0
+        for m in sorted(found.values(), key=lambda m: m.start()):
+            out += [text[done : m.start()], parts[m.lastgroup]]
+            done = m.end()
+        return "".join([*out, text[done:]])
+
     def _date(self, text: str) -> str | None:
+        if any(c.isalpha() for c in text):
+            return self._written(text)
         for form in ("%Y-%m-%d", "%d/%m/%Y", "%m/%d/%Y", "%d.%m.%Y"):
             try:
                 day = datetime.datetime.strptime(text, form).date().toordinal()
@@ -140,8 +195,11 @@ class Pseudonyms:
 
     def _phone(self, text: str) -> str | None:
         digits = re.sub("[^0-9]", "", text)
-        code = re.match(r"\+([0-9]{1,3})[ .(-]", text)
-        kept = len(code[1]) if code else max(0, len(digits) - 10)
+        kept = max(0, len(digits) - 10)
+        if text.startswith("+"):
+            kept = next((n for n in (1, 2) if digits[:n] in _CODES), 3)
+            if not 7 <= len(digits) - kept <= 15 - kept:
+                return None
         return _laid(text, digits[:kept] + self.characters("phone", digits[kept:]))
 
     def _value(self, text: str, start: int, first: str) -> tuple[str, int, int, str] | None:
@@ -154,7 +212,8 @@ class Pseudonyms:
             m = _ONE[kind].match(text, start)
             if not m:
                 continue
-            begin, last = m.span("value" if kind == "secret" and m["value"] else 0)
+            named = [g for g in ("value", "quoted", "bearer", "jwt", "block") if m[g]] if kind == "secret" else []
+            begin, last = m.span(named[0] if named else 0)
             cuts = [c.start() for c in _GROUPED[kind].finditer(text, begin, last)] if kind in _GROUPED else []
             for end in [last, *reversed(cuts)]:
                 new = getattr(self, f"_{kind}")(text[begin:end])
@@ -169,7 +228,7 @@ class Pseudonyms:
             return text, found
         out, done, at = [], 0, 0
         while m := _FIND.search(text, at):
-            value = self._value(text, m.start(), m.lastgroup)
+            value = self._value(text, m.start(), next(kind for kind in KINDS if m[kind] is not None))
             if value is None:  # the form without the check: other forms may start inside it
                 at = m.start() + 1
                 continue
