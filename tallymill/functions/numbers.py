@@ -23,6 +23,11 @@ def cosine(dot: Column, square_a: Column, square_b: Column) -> Column:
     return F.try_divide(dot, F.sqrt(square_a) * F.sqrt(square_b))
 
 
+def rmse(predicted: Column, label: Column) -> Column:
+    """Root of the mean squared error, as an aggregate; rows without one of both are left out."""
+    return F.sqrt(F.avg((predicted - label) * (predicted - label)))
+
+
 def sliding_means(values: Column, length: int, width: int, stride: int = 1, outputs: int | None = None) -> Column:
     """Means of ``width`` neighbours in an array of ``length`` numbers, as an array.
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallymill.functions.calendar import iso_weekday
+from tallymill.functions.numbers import rmse
 
 
 def rides_per_day(points: DataFrame, day: str = "day") -> DataFrame:
@@ -101,6 +102,15 @@ def profile_forecast(train: DataFrame, test: DataFrame) -> DataFrame:
     return rows.join(means, keys, "left").select("test_id", "zone", "day", "hour", "hires").orderBy("test_id")
 
 
+def profile_rmse(train: DataFrame, test: DataFrame) -> DataFrame:
+    """(n, seen, rmse): rows of ``test``, those whose zone, weekday and hour the training rows have, and the error of their means."""
+    keys = ["zone", "weekday", "hour"]
+    weekday = iso_weekday(F.col("day")).alias("weekday")
+    means = train.groupBy("zone", weekday, "hour").agg(F.avg("hires").alias("mean"))
+    rows = test.select("zone", weekday, "hour", "hires").join(means, keys, "left")
+    return rows.agg(F.count("*").alias("n"), F.count("mean").alias("seen"), rmse(F.col("mean"), F.col("hires")).alias("rmse"))
+
+
 def date_slice_profile(hires: DataFrame, day: str, zone: int, last_hour: int) -> DataFrame:
     """(zone, hour, hires): integer means of one date for a zone, up to and including an hour."""
     chosen = hires.where(

@@ -226,6 +226,24 @@ def forest_rmse(spark, sf):
     return forest.forest_rmse(forest.fit_forest(train, seed=SEED), train)
 
 
+def forest_scores(spark, sf):
+    """Error of the forest on its training rows and on the later rows."""
+    train, later = tables.hire_split(spark, sf)
+    return forest.forest_scores(forest.fit_forest(train, seed=SEED), train, later)
+
+
+def forest_features(spark, sf):
+    """The features of all rows as the trees see them."""
+    train, test = tables.hire_split(spark, sf)
+    rows = forest.indexed_features(test, forest.category_index(train))
+    names = [F.get("features", i).alias(f"{c}_index") for i, c in enumerate(forest.FEATURES)]
+    return rows.select("test_id", "weekday", "month", *names)
+
+
+def profile_rmse(spark, sf):
+    return _rounded(demand.profile_rmse(*tables.hire_split(spark, sf)), "rmse")
+
+
 def zone_points(spark, sf):
     return demand.zone_points(tables.points(spark, sf), zone=5)
 
@@ -243,6 +261,6 @@ def queries() -> dict[str, Query]:
         rides_per_day, daily_hires_in_february, rides_per_month,
         weekday_profile, weekday_profile_by_zone, hour_profile, hour_profile_by_zone,
         rides_per_zone, zone_bounds, ride_totals, profile_forecast, date_slice_profile,
-        forest_forecast, forest_rmse, zone_points,
+        forest_forecast, forest_rmse, forest_scores, forest_features, profile_rmse, zone_points,
     ]
     return {q.__name__: q for q in [*operators, *files.QUERIES]}

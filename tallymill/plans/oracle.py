@@ -235,6 +235,28 @@ WHERE age >= {tables.TRAIN_DAYS}"""
 DATE_SLICE = f"""
 WITH {HIRES} SELECT zone, hour, trunc(avg(hires))::INT AS hires FROM hires
 WHERE day = DATE '{catalog.SLICE_DAY}' AND zone = {catalog.SLICE_ZONE} AND hour <= {catalog.SLICE_HOUR} GROUP BY ALL"""
+_AGED = f"{HIRES}, aged AS (SELECT *, isodow(day) AS weekday, month(day) AS month, date_diff('day', DATE '{tables.FIRST_DAY}', day) AS age FROM hires)"
+
+
+def _features() -> str:
+    """Places of the training values in their order, for features with at most 24 of them."""
+    names = ["zone", "hour", "weekday", "month"]
+    values = " UNION ".join(f"SELECT '{c}' AS f, {c}::DOUBLE AS v FROM aged WHERE age < {tables.TRAIN_DAYS}" for c in names)
+    place = ", ".join(
+        f"coalesce((SELECT place FROM known k WHERE k.f = '{c}' AND k.v = aged.{c}), (SELECT max(place) + 1 FROM known k WHERE k.f = '{c}'), aged.{c})::DOUBLE AS {c}_index"
+        for c in names
+    )
+    return f"""
+WITH {_AGED}, seen AS ({values}),
+known AS (SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY v) - 1 AS place FROM seen QUALIFY count(*) OVER (PARTITION BY f) <= 24)
+SELECT ((age * 24 + aged.hour) * {tables.ZONES} + aged.zone)::BIGINT AS test_id, weekday::INT AS weekday, month::INT AS month, {place}
+FROM aged WHERE age >= {tables.TRAIN_DAYS}"""
+
+
+PROFILE_RMSE = f"""
+WITH {_AGED}, means AS (SELECT zone, weekday, hour, avg(hires) AS mean FROM aged WHERE age < {tables.TRAIN_DAYS} GROUP BY ALL)
+SELECT count(*) AS n, count(mean) AS seen, round(sqrt(avg(power(mean - hires, 2))), 6) AS rmse
+FROM aged LEFT JOIN means USING (zone, weekday, hour) WHERE age >= {tables.TRAIN_DAYS}"""
 ZONE_POINTS = "SELECT embedding[1] AS x, embedding[2] AS y FROM embeddings WHERE label = 5"
 
 # Results of the file queries: what the tables give after the change of format.
@@ -339,6 +361,8 @@ def oracle_sql() -> dict[str, str]:
         "ride_totals": RIDE_TOTALS,
         "profile_forecast": FORECAST,
         "date_slice_profile": DATE_SLICE,
+        "forest_features": _features(),
+        "profile_rmse": PROFILE_RMSE,
         "zone_points": ZONE_POINTS,
         "power_file_summary": POWER_FILE,
         "news_file_word_counts": NEWS_FILE,

@@ -94,3 +94,44 @@ def test_rectangles_without_a_zone_count_for_the_overall_box(spark):
     df = spark.createDataFrame([(1, 0.0, 9.0, 5.0, 4.0), (None, -3.0, 12.0, 1.0, 2.0)], "zone int, left double, top double, right double, bottom double")
     got = [(r.zone, r.left, r.right, r.bottom, r.top) for r in demand.zone_bounds(df).orderBy(demand.F.asc_nulls_last("zone")).collect()]
     assert got == [(1, 0.0, 5.0, 4.0, 9.0), (None, -3.0, 5.0, 2.0, 12.0)]
+
+
+def test_predictions_by_joins_are_those_of_the_model(spark, labelled):
+    model = forest.fit_forest(labelled, trees=7, depth=5, max_categories=6)
+    index = forest.category_index(labelled, max_categories=6)
+    maps = {(f, v): p for f, m in model.stages[1].categoryMaps.items() for v, p in m.items()}
+    assert {(r.feature, r.value): r.place for r in index.collect()} == maps and {f for f, _ in maps} < {0, 1, 2, 3}
+    test = labelled.union(hires(spark, [(99, MON, 8, 1), (2, datetime.date(2016, 7, 3), 23, 1)]))
+    rows = forest.indexed_features(test.withColumn("test_id", demand.F.monotonically_increasing_id()), index)
+    found = forest.predict_by_joins(forest.forest_nodes(spark, model), rows, trees=7, depth=5).toPandas()
+    expected = model.transform(rows.drop("features")).select("zone", "day", "hour", "prediction").toPandas()
+    keys = ["zone", "day", "hour"]
+    assert len(found) == len(expected) == test.count()
+    both = found.merge(expected, on=keys)
+    assert (both.prediction_x - both.prediction_y).abs().max() < 1e-9
+
+
+def test_the_forest_does_not_depend_on_shuffle_partitions(spark, labelled):
+    setting, texts = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(setting)
+    for n in ("3", "8"):
+        spark.conf.set(setting, n)
+        try:
+            texts.append(forest.fit_forest(labelled, trees=3, depth=4).stages[-1].toDebugString.split("\n", 1)[1])
+        finally:
+            spark.conf.set(setting, before)
+    assert texts[0] == texts[1]
+
+
+def test_errors_on_training_and_later_rows(spark, labelled):
+    early, later = labelled.where("day < '2016-01-25'"), labelled.where("day >= '2016-01-25'")
+    model = forest.fit_forest(early, trees=5, depth=6)
+    got = {r.rows: (r.n, r.rmse) for r in forest.forest_scores(model, early, later).collect()}
+    assert got["train"][0] == early.count() and got["later"][0] == later.count()
+    assert got["train"][1] == pytest.approx(forest.forest_rmse(model, early).first().rmse)
+
+
+def test_profile_error_leaves_out_unseen_rows(spark):
+    train = hires(spark, [(1, MON, 8, 2), (1, MON, 8, 4)])
+    test = hires(spark, [(1, NEXT_MON, 8, 5), (1, NEXT_MON, 8, 1), (1, TUE, 8, 9)])
+    assert tuple(demand.profile_rmse(train, test).first()) == (3, 2, 2.0)

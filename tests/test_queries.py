@@ -11,7 +11,7 @@ from tallymill.plans import catalog, oracle, tables
 FOLDER = str(compare.SF_ROOT / "sf0.001")
 QUERIES = catalog.queries()
 ORACLES = oracle.oracle_sql()
-NO_ORACLE = {"forest_forecast", "forest_rmse"}
+NO_ORACLE = {"forest_forecast", "forest_rmse", "forest_scores"}
 
 pytestmark = pytest.mark.skipif(not compare.SF_ROOT.exists(), reason="needs the test tables")
 
