@@ -1,8 +1,9 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text, Gumbel top-k.
 
-Both models are counts of hashed words and word pairs, one of good documents and one of all. A
-document's log weight is the sum over its n-grams of the log ratio. Adding Gumbel noise and
-taking the highest k draws k documents without replacement in proportion to their weights.
+Both models are counts of hashed words and word pairs, one of good documents and one of all; the target
+model is interpolated with the raw one. A document's log weight is the sum over its n-grams of the
+log ratio. Adding Gumbel noise and taking the highest k draws k documents without replacement in
+proportion to their weights.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallymill.session import written_table
 
-#: Buckets of hashed n-grams, pseudo-counts of a bucket, and good documents that the target model is fitted on.
+#: Buckets of hashed n-grams, pseudo-counts of a bucket in the raw model, share of the raw model in the target
+#: model, and good documents that the target model is fitted on.
 BUCKETS = 1 << 16
 PRIOR = 1.0
+BACKGROUND = 0.8
 TARGETS = 20_000
 KEEP = 0.75
 SEED = 11
@@ -61,7 +64,8 @@ def fit(docs: DataFrame, target_ids: DataFrame, id_column: str = "doc_id", text_
 
     The raw model counts all of ``docs``. The target model counts the documents in ``target_ids``
     (column id), or the ``TARGETS`` of them that come first by hash, if they are more. Each task
-    adds up its counts before they are shuffled; the model has ``BUCKETS`` numbers at any size.
+    adds up its counts before they are shuffled; the model has ``BUCKETS`` numbers at any size. Without
+    target documents all ratios are 0.
     """
     ids = target_ids.select("id").where("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(TARGETS)
     wanted = docs.sparkSession.sparkContext.broadcast({row.id for row in ids.collect()})
@@ -82,11 +86,19 @@ def fit(docs: DataFrame, target_ids: DataFrame, id_column: str = "doc_id", text_
 
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("binary").alias("text"))
     counts = rows.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw"), F.sum("target"))
-    raw, target = np.full(BUCKETS, PRIOR), np.full(BUCKETS, PRIOR)
+    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for bucket, r, t in counts.collect():
-        raw[bucket] += r
-        target[bucket] += t
-    return np.log(target / target.sum()) - np.log(raw / raw.sum())
+        raw[bucket], target[bucket] = r, t
+    wanted.destroy()
+    return log_ratio(raw, target)
+
+
+def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log of the interpolated target probability over the raw one, per bucket, from counts."""
+    if not target.sum():
+        return np.zeros(len(raw))
+    common = (raw + PRIOR) / (raw.sum() + PRIOR * len(raw))
+    return np.log(BACKGROUND + (1 - BACKGROUND) * target / target.sum() / common)
 
 
 def weigh(text: Column, ratio: np.ndarray, spark) -> Column:
@@ -130,19 +142,21 @@ def resample(
     keep: float = KEEP,
     id_column: str = "doc_id",
     text_column: str = "text",
+    temperature: float = 1.0,
 ) -> DataFrame:
     """One row per row of ``docs``: its id, ``log_weight``, ``n_grams``, ``gumbel_key`` and ``kept``.
 
-    ``log_weight`` is the mean log ratio of the document's n-grams times the square root of their
-    number: a sum would let length decide alone. Kept are the share ``keep`` of the rows whose key, log weight plus
-    noise, is highest; ties at the cut, such as repeated rows, stay together. Null and empty
-    texts weigh 0. An empty table gives no rows; other columns of ``docs`` are not looked at.
+    ``log_weight`` is the sum of the log ratios of the document's n-grams, its importance weight. Kept are the share
+    ``keep`` of the rows whose key, log weight over ``temperature`` plus noise, is highest; at 1 that is a draw in
+    proportion to the weights. Noise depends on the id: ties at the cut, such as repeated rows, stay
+    together, and rows with a null id share theirs. Null and empty texts weigh 0. An empty table gives no
+    rows; other columns of ``docs`` are not looked at.
     """
     ratio = fit(docs, target_ids, id_column, text_column)
     weight = weigh(F.col(text_column), ratio, docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("id"), weight.alias("w"))
-    tempered = F.col("w.log_weight") / F.sqrt(F.greatest(F.col("w.n_grams"), F.lit(1)))
-    rows = rows.select("id", tempered.alias("log_weight"), "w.n_grams", (tempered + gumbel(F.col("id"))).alias("gumbel_key"))
+    key = F.col("w.log_weight") / temperature + gumbel(F.col("id"))
+    rows = rows.select("id", "w.log_weight", "w.n_grams", key.alias("gumbel_key"))
     rows = written_table(rows.withColumn("place", F.floor(F.col("gumbel_key") * (1 << 20))), "weights")
     cut = kth_largest(rows, "place", round(keep * rows.count()))
     kept = F.lit(False) if cut is None else F.col("place") >= cut
