@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The day format of the outputs and the text layout of a GPS timestamp.
-DAY_FORMAT = "yyyy-MM-dd"
+# The text layout of a GPS timestamp.
 DAY_CHARS = 10
 SECOND_CHARS = 19
 
 
-def day_text(moment: Column) -> Column:
-    return F.date_format(moment, DAY_FORMAT)
-
-
 def iso_weekday(day: Column) -> Column:
     """1 for Monday to 7 for Sunday."""
     return F.weekday(day) + 1

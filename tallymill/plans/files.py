@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallymill.functions.hashing import coefficient_table
 from tallymill.operators import columns, demand, links, popularity, scores, shingles, similarity, words
 from tallymill.plans import tables
 from tallymill.session import shared_folder, written_table
@@ -58,7 +59,7 @@ def feedback_files_hourly(spark, sf) -> DataFrame:
     keys = ["entity", "block"]
     ticks = written_table(popularity.ticks_from_rows(tables.tick_rows(spark, sf), keys, "slot", "value"), "ticks")
     wide = popularity.as_columns(ticks, keys, "ticks", "TS", popularity.TICKS)
-    kinds = F.array(*[F.lit(k) for k in ("click", "error", "purchase", "signup", "view")])
+    kinds = ticks.select("entity").distinct().agg(F.sort_array(F.collect_list("entity")).alias("kinds")).scalar()
     item = F.col("block") * 10 + F.array_position(kinds, F.col("entity"))
     names = [f"TS{i}" for i in range(1, popularity.TICKS + 1)]
     for number, platform in enumerate(schemas.PLATFORMS):
@@ -163,6 +164,20 @@ def word_files_by_topic(spark, sf) -> DataFrame:
     )
 
 
+def word_count_file(spark, sf) -> DataFrame:
+    """``word count`` lines of all documents, quoted so that line breaks stay inside of words, read back."""
+    path = shared_folder(spark, "word-counts")
+    writers.write_word_counts(words.word_count_total(tables.documents(spark, sf)), path, quoted=True)
+    return quoted.read_quoted(spark, path, "word string, n bigint", header=False, sep=" ")
+
+
+def signature_coefficients(spark, sf) -> DataFrame:
+    """The coefficients of every hash function next to the least of its minima over all documents with shingles."""
+    arrays = shingles.minhash_signatures(tables.documents(spark, sf), num_hashes=256)
+    least = arrays.groupBy("hash_idx").agg(F.min("minhash").alias("least"), F.count_if(F.col("minhash") == 0).alias("zeros"))
+    return least.join(coefficient_table(spark, 256, 1), "hash_idx")
+
+
 def top_word_file(spark, sf) -> DataFrame:
     """Top words as one sorted file with a header line, read back."""
     path = shared_folder(spark, "top")
@@ -324,5 +339,5 @@ QUERIES = [
     edge_file_degrees, hire_files_forecast, gps_file_rides, zone_file_bounds, article_files_documents,
     word_files_by_topic, top_word_file, degree_files_sorted, signature_files, link_files,
     news_file_texts, word_files_by_case_and_day, article_file_ids, matrix_files, signature_matrix_files,
-    wide_average_files, link_lines, edge_file_in_degrees, edge_file_links, rating_file_user_similarity, rating_file_item_similarity,
+    word_count_file, signature_coefficients, wide_average_files, link_lines, edge_file_in_degrees, edge_file_links, rating_file_user_similarity, rating_file_item_similarity,
 ]

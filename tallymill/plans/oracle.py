@@ -311,6 +311,10 @@ FROM kept a JOIN kept b ON a.doc_id = b.doc_id AND a."case" = b."case" AND a.top
 SIGNATURE_MATRIX = f"""
 SELECT hash_idx, row_number() OVER (PARTITION BY hash_idx ORDER BY doc_id) - 1 AS position, doc_id, minhash
 FROM ({_minhash(catalog.HASHES)})"""
+_PAIRS = ", ".join(f"({i}, {a}::BIGINT, {b}::BIGINT)" for i, (a, b) in enumerate(coefficients(catalog.HASHES, catalog.SEED)))
+COEFFICIENTS = f"""
+SELECT hash_idx, min(minhash) AS least, count(*) FILTER (WHERE minhash = 0) AS zeros, a, b
+FROM ({_minhash(catalog.HASHES)}) JOIN (SELECT * FROM (VALUES {_PAIRS}) AS p(hash_idx, a, b)) USING (hash_idx) GROUP BY ALL"""
 WIDE_AVERAGES = f"""
 SELECT 'hour' AS kind, entity, block, slot, avg_hour AS average FROM ({_hourly(1)})
 UNION ALL SELECT 'day', entity, block, slot, avg_day FROM ({_daily(1, 1)})"""
@@ -386,6 +390,8 @@ def oracle_sql() -> dict[str, str]:
         "signature_matrix_files": SIGNATURE_MATRIX,
         "wide_average_files": WIDE_AVERAGES,
         "link_lines": LINK_LINES,
+        "word_count_file": WORD_COUNT_TOTAL,
+        "signature_coefficients": COEFFICIENTS,
         "edge_file_in_degrees": IN_DEGREE,
         "edge_file_links": NODE_LINKS,
         "rating_file_user_similarity": _similarity("o_custkey", "l_partkey"),

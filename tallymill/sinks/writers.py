@@ -27,9 +27,10 @@ def write_sorted(df: DataFrame, path: str, order: list, header: bool = False, se
     write_csv(df.orderBy(*order), path, header, sep)
 
 
-def write_word_counts(counts: DataFrame, path: str) -> None:
-    """``word count`` lines, most frequent first."""
-    write_sorted(counts.select("word", "n"), path, [F.desc("n"), F.asc("word")], sep=" ")
+def write_word_counts(counts: DataFrame, path: str, quoted: bool = False) -> None:
+    """``word count`` lines, most frequent first; ``quoted`` keeps line breaks inside of words."""
+    rows = counts.select("word", "n").orderBy(F.desc("n"), F.asc("word"))
+    rows.write.mode("overwrite").csv(path, sep=" ", **(QUOTED if quoted else {}))
 
 
 def write_per_key(df: DataFrame, path: str, keys: list[str], order: list[Column], sep: str = " ", quoted: bool = False) -> None:

@@ -43,7 +43,7 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).columns == ["topic", "word", "n"]
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - NO_ORACLE - {"minhash_signatures"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - NO_ORACLE - {"minhash_signatures", "signature_coefficients"}))
 def test_no_python_worker_and_no_product_join(spark, name):
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoopJoin", plan)

@@ -26,3 +26,16 @@ def test_written_table_forgets_how_it_was_made(spark, rows):
     made = spark.range(10).selectExpr("id % 3 AS k", "id").repartition(4)
     back = written_table(made, "t")
     assert rows(back) == rows(made) and "Exchange" not in back._jdf.queryExecution().executedPlan().toString()
+
+
+def test_written_tables_go_when_the_caller_is_done(spark, monkeypatch):
+    from pathlib import Path
+
+    from tallymill import session
+
+    monkeypatch.setattr(session, "_folders", [])
+    back = session.written_table(spark.range(3), "t")
+    (path,) = {Path(f.removeprefix("file:")).parent for f in back.inputFiles()}
+    assert path.exists() and session._folders == [str(path)]
+    session.remove_written(spark)
+    assert not path.exists() and session._folders == []
