@@ -33,36 +33,35 @@ _LONGS = pa.list_(_LONG)
 
 
 def _block_rows(most: int):
-    """(block, row, id, n_words, data) of every text: its words, joined by single blanks."""
+    """(block, row, id, n_words, data) of every text."""
 
     def run(batches):
         block, row, size = TaskContext.get().partitionId() << 32, 0, 0
         for batch in batches:
-            blocks, rows, n_words, data = [], [], [], []
+            blocks, rows, n_words = [], [], []
             for text in batch.column("data"):
-                words = text.as_py().split()
+                data = text.as_py()
                 blocks.append(block)
                 rows.append(row)
-                n_words.append(len(words))
-                data.append(b" ".join(words))
-                row, size = row + 1, size + len(data[-1])
+                n_words.append(len(data.split()))
+                row, size = row + 1, size + len(data)
                 if size >= most:
                     block, row, size = block + 1, 0, 0
-            arrays = [pa.array(blocks, _LONG), pa.array(rows, _LONG), batch.column("id"), pa.array(n_words, _LONG), pa.array(data, pa.binary())]
+            arrays = [pa.array(blocks, _LONG), pa.array(rows, _LONG), batch.column("id"), pa.array(n_words, _LONG), batch.column("data")]
             yield pa.RecordBatch.from_arrays(arrays, ["block", "row", "id", "n_words", "data"])
 
     return run
 
 
 def _pieces(table: pa.Table, window: int, most: int):
-    """(bytes, offset) per text or piece of a long one; the offset names its first word in the block.
+    """(bytes, offset) per text or piece of a long one, its words joined by single blanks; the offset names its first word in the block.
 
     A piece ends ``window - 1`` words after the start of the next one, so each window lies in one piece.
     """
     for row, n_words, text in zip(table["row"].to_pylist(), table["n_words"].to_pylist(), table["data"]):
         if n_words < window:
             continue
-        data = text.as_py()
+        data = b" ".join(text.as_py().split())
         if len(data) <= most:
             yield data, row << _ROW
             continue
@@ -204,7 +203,7 @@ def _second_names(window: int, most: int):
 
 
 def _cut(window: int):
-    """(id, n_words, n_removed, kept) of a block's texts, given the windows that repeat (ats, ns)."""
+    """(id, n_words, n_removed, kept, text) of a block's texts, given the windows that repeat (ats, ns)."""
 
     def run(key, table: pa.Table, found: pa.Table) -> pa.Table:
         ats = found["ats"].combine_chunks()
@@ -217,13 +216,15 @@ def _cut(window: int):
         at, end = at[order], (at + n - 1 + window)[order]
         text = at >> _ROW
         cuts = np.searchsorted(text, np.arange(int(text[-1]) + 2)) if len(at) else np.zeros(1, int)
-        removed, kept = [], []
-        for row, data in zip(table["row"].to_pylist(), table["data"]):
+        removed, kept, texts = [], [], []
+        for row, original in zip(table["row"].to_pylist(), table["data"]):
             lo, hi = (int(cuts[row]), int(cuts[row + 1])) if row + 1 < len(cuts) else (0, 0)
-            data = data.as_py()
+            original = original.as_py()
+            data = b" ".join(original.split())
             if lo == hi:
                 removed.append(0)
                 kept.append(data)
+                texts.append(original)
                 continue
             bounds = np.concatenate([[0], np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1, [len(data) + 1]])
             base = row << _ROW
@@ -233,8 +234,9 @@ def _cut(window: int):
             removed.append(int((ends - begins).sum()))
             stays = zip(np.append(0, ends), np.append(begins, len(bounds) - 1))
             kept.append(b" ".join(data[bounds[a] : bounds[b] - 1] for a, b in stays if a < b))
-        arrays = [table["id"].combine_chunks(), table["n_words"].combine_chunks(), pa.array(removed, _LONG), pa.array(kept, pa.binary())]
-        return pa.table(arrays, ["id", "n_words", "n_removed", "kept"])
+            texts.append(kept[-1])
+        arrays = [table["id"], table["n_words"], pa.array(removed, _LONG), pa.array(kept, pa.binary()), pa.array(texts, pa.binary())]
+        return pa.table(arrays, ["id", "n_words", "n_removed", "kept", "text"])
 
     return run
 
@@ -242,7 +244,9 @@ def _cut(window: int):
 def remove_passages(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, block: int = BLOCK, chunk: int = CHUNK
 ) -> DataFrame:
-    """One row per row of ``docs``: its id, ``n_words``, ``n_removed`` and the words ``kept``, joined by blanks.
+    """One row per row of ``docs``: its id, ``n_words``, ``n_removed``, the words ``kept``, joined by blanks, and ``text``.
+
+    ``text`` is the text as it was where no word goes, and ``kept`` elsewhere; both are UTF-8 bytes.
 
     Words are runs of other characters than ASCII white space. A word goes if a window of ``window``
     words covers it whose words also start anywhere else, in the same text or another, judged on the
@@ -274,4 +278,5 @@ def remove_passages(
     single = second.where("a is not null").withColumn("places", places).where("places > 1").select("block", "ats", "ns")
     runs = second.where("a is null").select("block", "ats", "ns").unionByName(single)
     cut = blocks.groupBy("block").cogroup(runs.groupBy("block"))
-    return cut.applyInArrow(_cut(window), f"id {kind}, n_words long, n_removed long, kept binary").withColumnRenamed("id", id_column)
+    cut = cut.applyInArrow(_cut(window), f"id {kind}, n_words long, n_removed long, kept binary, text binary")
+    return cut.withColumnRenamed("id", id_column)

@@ -40,7 +40,8 @@ def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
     cut = repeats.remove_repeats(load(spark, folder, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.begin)
     spans = F.size("spans").cast("long")
-    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), spans.alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    digest, text = F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text")
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), spans.alias("n_spans"), digest, F.octet_length("kept").cast("long").alias("n_kept"), text)
 
 
 def op5_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,7 +76,7 @@ def op10_resampling(spark: SparkSession, folder: str) -> DataFrame:
 
 def op11_passages(spark: SparkSession, folder: str) -> DataFrame:
     cut = passages.remove_passages(load(spark, folder, "documents"))
-    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), F.col("text").cast("string").alias("text"))
 
 
 def op12_trie_codes(spark: SparkSession, folder: str) -> DataFrame:
@@ -179,7 +180,7 @@ def _centroids_sql(size: int = 64, k: int = 16, rounds: int = 3) -> str:
 
 ORACLE_SQL = {
     "op11_passages": r"""
-        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
         t AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
         s AS (SELECT r, i, word, string_agg(word, ' ') OVER a AS s, count(*) OVER a AS c
               FROM t WINDOW a AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
@@ -188,7 +189,8 @@ ORACLE_SQL = {
                        OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
               FROM s LEFT JOIN again USING (s)),
         k AS (SELECT r, sum(gone) AS n, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM g GROUP BY r)
-        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256,
+               CASE WHEN n > 0 THEN coalesce(kept, '') ELSE coalesce(text, '') END AS text
         FROM d LEFT JOIN k USING (r)""",
     "op12_trie_codes": _codes_sql(),
     "op13_centroids": _centroids_sql(),

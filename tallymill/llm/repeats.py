@@ -3,7 +3,7 @@
 Each string of ``LENGTH`` bytes has an anchor: the place of the smallest hash of its runs of
 ``GRAM`` bytes. Equal strings have equal anchors at equal places, so only strings with the same
 anchor hash need to meet. The strings of an anchor lie in one segment of the text. Equal
-segments are counted by hash. Different segments of an anchor hash meet in blocks of bounded
+segments are counted by 128-bit digests of their bytes. Different segments of an anchor hash meet in blocks of bounded
 size, where a Burrows-Wheeler transform tells which of their strings repeat.
 """
 
@@ -97,12 +97,12 @@ def _segments(batches):
             at, n, _, h = _anchors().of(view)
             index.append(np.full(len(at), row))
             parts.append((at, n, h))
-            segs += [_digest(view[a : a + k + LENGTH - 1]) for a, k in zip(at.tolist(), n.tolist())]
+            segs += [blake2b(view[a : a + k + LENGTH - 1], digest_size=16).digest() for a, k in zip(at.tolist(), n.tolist())]
         if parts:
             rows = pa.array(np.concatenate(index))
             at, n, h = (np.concatenate(x) for x in zip(*parts))
             columns = {c: batch.column(c).take(rows) for c in ("id", "t")}
-            yield pa.record_batch(columns | {"at": at, "n": n.astype(np.int32), "h": h, "seg": np.array(segs, np.int64)})
+            yield pa.record_batch(columns | {"at": at, "n": n.astype(np.int32), "h": h, "seg": pa.array(segs, pa.binary())})
 
 
 def _bytes_of(batches):
@@ -133,7 +133,7 @@ def _bytes_of(batches):
                     core = view[place - part * FINE : place - part * FINE - FINE + 1 + LENGTH]
                     put(_digest(b"%d,%d," % (h, part) + bytes(core)), h, seg, start - at, bytes(view[start : last + LENGTH]))
                     start = last + 1
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary())
         yield pa.record_batch({c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds)})
 
 
@@ -149,7 +149,7 @@ def _block(rows: dict) -> pa.RecordBatch:
                 seg.append(row_seg)
                 at.append(begin + a)
                 n.append(k)
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32())
     return pa.record_batch({c: pa.array(v, k) for c, v, k in zip(("h", "seg", "at", "n"), (h, seg, at, n), kinds)})
 
 
@@ -183,7 +183,7 @@ def _strings(batches):
                 d = blake2b(data[k : k + LENGTH], digest_size=16).digest()
                 rows.append((int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), h, seg, begin + k))
         w, v, h, seg, at = zip(*rows) if rows else [()] * 5
-        yield pa.record_batch({"w": pa.array(w, pa.int64()), "v": pa.array(v, pa.int64()), "h": pa.array(h, pa.int64()), "seg": pa.array(seg, pa.int64()), "at": pa.array(at, pa.int32())})
+        yield pa.record_batch({"w": pa.array(w, pa.int64()), "v": pa.array(v, pa.int64()), "h": pa.array(h, pa.int64()), "seg": pa.array(seg, pa.binary()), "at": pa.array(at, pa.int32())})
 
 
 def repeated_runs(rows: DataFrame, hot: int = HOT) -> DataFrame:
@@ -192,10 +192,9 @@ def repeated_runs(rows: DataFrame, hot: int = HOT) -> DataFrame:
     (id, t) names a row; rows with the same name have the same data.
     """
     kind = rows.schema["id"].dataType.simpleString()
-    found = rows.mapInArrow(_segments, f"id {kind}, t long, at long, n int, h long, seg long")
+    found = rows.mapInArrow(_segments, f"id {kind}, t long, at long, n int, h long, seg binary")
     segments = written_table(found, "segments")
-    often = segments.groupBy("h").count().where("count > 1").select("h")
-    segments = written_table(segments.join(often, "h", "left_semi"), "shared-segments")
+    # Equal segments are one row before anchors are joined, so a hot anchor brings its different segments only.
     distinct = segments.groupBy("h", "seg").agg(F.count("*").alias("c"), F.min(F.struct("id", "t", "at", "n")).alias("first"))
     distinct = written_table(distinct, "distinct-segments")
     equal = distinct.where("c > 1").select("h", "seg", F.lit(0).alias("from"), F.col("first.n").alias("k"))
@@ -204,13 +203,13 @@ def repeated_runs(rows: DataFrame, hot: int = HOT) -> DataFrame:
     wanted = mixed.groupBy("id", "t").agg(F.collect_list(F.struct("at", "n", "h", "seg", "hot")).alias("wanted"))
     named = F.expr("r.id <=> w.id and r.t = w.t")
     texts = rows.alias("r").join(wanted.alias("w"), named).select("data", "wanted")
-    parts = texts.mapInArrow(_bytes_of, "key long, h long, seg long, `from` int, data binary")
+    parts = texts.mapInArrow(_bytes_of, "key long, h long, seg binary, `from` int, data binary")
     parts = written_table(parts, "segment-bytes")
     sizes = parts.groupBy("key").agg(F.count("*").alias("parts")).where(F.col("parts") > hot)
     sizes = written_table(sizes.select("key"), "hot-keys")
     together = parts.join(sizes, "key", "left_anti").repartition("key").sortWithinPartitions("key")
-    repeated = together.mapInArrow(_blocks, "h long, seg long, at int, n int").select("h", "seg", F.col("at").alias("from"), F.col("n").alias("k"))
-    strings = parts.join(sizes, "key", "left_semi").mapInArrow(_strings, "w long, v long, h long, seg long, at int")
+    repeated = together.mapInArrow(_blocks, "h long, seg binary, at int, n int").select("h", "seg", F.col("at").alias("from"), F.col("n").alias("k"))
+    strings = parts.join(sizes, "key", "left_semi").mapInArrow(_strings, "w long, v long, h long, seg binary, at int")
     again = strings.groupBy("w", "v").agg(F.count_distinct("h", "seg").alias("c")).where("c > 1").select("w", "v")
     single = strings.join(again, ["w", "v"]).select("h", "seg", F.col("at").alias("from"), F.lit(1).alias("k"))
     runs = equal.unionByName(repeated).unionByName(single)

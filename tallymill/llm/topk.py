@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallymill.session import written_table
 
-#: Rows of a block of vectors and of a block of queries, and rows that are bounded at once.
-ROWS = 8192
-QUERIES = 1024
+#: Rows of a block of vectors and of a block of queries: every vector is sent once per block of queries, every query
+#: once per block of vectors. Within a task so many queries and vectors are bounded at once.
+ROWS = 32768
+QUERIES = 32768
+ASKED = 1024
 STEP = 512
 LEVELS = (1, 4, 16)
 SCALE = 1024
@@ -94,13 +96,20 @@ def _exact(x: np.ndarray, most: float) -> np.ndarray:
 
 
 def _search(q_ids, q, x_ids, x, k: int):
-    """(query, vector, score) of the k best of x for each row of q; scores are exact integers in doubles, longs or objects.
+    """(query, vector, score) of the k best of x for each row of q, ``ASKED`` queries at a time."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        x_stats, x_norms = _statistics(x), _norms(x)
+    for at in range(0, len(q), ASKED):
+        yield _search_some(q_ids[at : at + ASKED], q[at : at + ASKED], x_ids, x, x_stats, x_norms, k)
+
+
+def _search_some(q_ids, q, x_ids, x, x_stats, x_norms, k: int):
+    """The same for some queries; scores are exact integers in doubles, longs or objects.
 
     The sum of the absolute products of two vectors is at most the product of their norms, which picks the type.
     """
     with np.errstate(over="ignore", invalid="ignore"):
-        q_stats, x_stats = _statistics(q), _statistics(x)
-        q_norms, x_norms = _norms(q), _norms(x)
+        q_stats, q_norms = _statistics(q), _norms(q)
         q, x = (_exact(m, q_norms.max() * x_norms.max()) for m in (q, x))
         top_ids = [np.empty(0, np.int64)] * len(q)
         top = [np.empty(0, q.dtype)] * len(q)
@@ -181,9 +190,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_column: str = "vec_id",
             if len(a) and len(b):
                 q_ids, q_all, x_ids, x_all = a["id"].to_numpy(), matrix(a), b["id"].to_numpy(), matrix(b)
                 for i, j in product(_by_size(q_all), _by_size(x_all)):
-                    query_ids, vec_ids, scores = _search(q_ids[i], q_all[i], x_ids[j], x_all[j], k)
-                    for out, part in zip(found, (query_ids, vec_ids, *_as_longs(scores))):
-                        out.append(part)
+                    for query_ids, vec_ids, scores in _search(q_ids[i], q_all[i], x_ids[j], x_all[j], k):
+                        for out, part in zip(found, (query_ids, vec_ids, *_as_longs(scores))):
+                            out.append(part)
         joined = [np.concatenate([np.empty(0, t), *part]).astype(t) for t, part in zip((np.int64, np.int64, np.int64, np.int32), found)]
         return pa.table(dict(zip(("query_id", "vec_id", "score", "beyond"), joined)))
 

@@ -63,3 +63,11 @@ def test_passages(spark, chunk, block, window):
 
 def test_no_rows(spark):
     assert passages.remove_passages(spark.createDataFrame([], DOC)).count() == 0
+
+
+def test_text_is_as_it_was_where_no_word_goes(spark):
+    words = [f"w{i}" for i in range(40)]
+    texts = ["  a\tb\n", "x  " + " ".join(words), "y\n" + "\n".join(words), None]
+    df = spark.createDataFrame([(i, t, 0, "", "", 0, 0) for i, t in enumerate(texts)], DOC)
+    got = {r.doc_id: (bytes(r.kept), bytes(r.text)) for r in passages.remove_passages(df).collect()}
+    assert got == {0: (b"a b", b"  a\tb\n"), 1: (b"x", b"x"), 2: (b"y", b"y"), 3: (b"", b"")}
