@@ -24,6 +24,8 @@ from tallymill.session import written_table
 BLOCK_BYTES = 24 << 20
 #: Distinct pre-tokens that a bucket receives from all blocks, on average.
 BUCKET_TOKENS = 250_000
+#: Blocks whose equal pre-tokens meet.
+TOGETHER = 4096
 
 #: Characters on whose classes the pattern and the tokenizer are known to agree (tests compare all of them).
 _AGREED = regex.compile("[^\0-\u036f]")
@@ -126,13 +128,18 @@ def _counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return both[: len(both) // 2], both[len(both) // 2 :]
 
 
-def token_counts(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def token_counts(
+    docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text", together: int = TOGETHER, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """One row per row of ``docs``: its id, ``n_bytes`` (UTF-8) and ``n_tokens``.
 
     The counts are those of the byte-level BPE tokenizer in ``tokenizer_path`` on the whole
     text, without added special tokens; special strings inside a text are one token each. A
     null text counts as empty (0, 0). Repeated rows are counted each, an empty table gives no
     rows, and other columns of ``docs`` are not looked at.
+
+    A pre-token is encoded once for all blocks, or once for every ``together`` blocks where there are more: the
+    lists of a bucket come from so many blocks at most, however frequent its pre-tokens are.
     """
     id_kind = docs.schema[id_column].dataType.simpleString()
 
@@ -145,7 +152,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id"
             id_type = batch.schema.field(0).type
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 block.add(doc_id, text.as_py() or "", pieces)
-                if block.bytes >= BLOCK_BYTES:
+                if block.bytes >= block_bytes:
                     yield block.batch(number, id_type)
                     number, block = number + 1, _Block()
         if block.ids:
@@ -154,8 +161,9 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id"
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     shape = f"block long, ids array<{id_kind}>, sizes array<bigint>, lengths array<int>, counts binary, n int, tokens binary"
     blocks = written_table(chosen.mapInArrow(cut, shape), "token-blocks")
-    total = blocks.agg(F.sum("n")).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_TOKENS))
+    total, number_of_blocks = blocks.agg(F.sum("n"), F.count("*")).first()
+    parts = max(1, -(-number_of_blocks // together))
+    buckets = max(1, -(-(total or 0) // (BUCKET_TOKENS * parts)))
 
     def send(batches):
         for batch in batches:
@@ -193,6 +201,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id"
         return pa.table({"id": ids, "n_bytes": sizes, "n_tokens": pa.array(n_tokens, pa.int64())})
 
     sent = blocks.select("block", "tokens").mapInArrow(send, "bucket long, block long, tokens binary")
-    pieces = sent.groupBy("bucket").applyInArrow(encode, "bucket long, block long, pieces array<int>")
+    part = F.pmod(F.xxhash64("block"), F.lit(parts))
+    pieces = sent.withColumn("part", part).groupBy("bucket", "part").applyInArrow(encode, "bucket long, block long, pieces array<int>")
     result = blocks.drop("tokens", "n").groupBy("block").cogroup(pieces.groupBy("block")).applyInArrow(total_up, f"id {id_kind}, n_bytes long, n_tokens long")
     return result.withColumnRenamed("id", id_column)
