@@ -5,7 +5,8 @@ of the other. Neighbours at distance 3 differ in parity, so fingerprints with an
 set bits emit all variants within distance 2 and those with an even number all within 1; pairs
 at distance 2 meet half-way, at distance 1 from both. Variants are shuffled by their leading
 bits: a fingerprint is sent once to each bucket in which it has variants, and the variants of
-a bucket are spelled out and sorted inside the task.
+a bucket are spelled out and sorted inside the task. A bucket with too many fingerprints, such as
+one with a large cluster of near copies, is cut along further bits before it is gathered.
 """
 
 from __future__ import annotations
@@ -28,6 +29,11 @@ HOME = 4096
 LEAST_BITS = 8
 #: Variants a task holds at once; a bucket with more is cut along further bits.
 VARIANTS = 8_000_000
+#: Fingerprints that one task gathers as a bucket; a bucket with more is cut by ``DEEPER`` more of the leading bits, again
+#: and again up to ``MOST_BITS``, where at most 2^8 values and their neighbours are left in it.
+GATHERED = 1 << 18
+DEEPER = 8
+MOST_BITS = 56
 _PIECE = 1 << 16
 
 
@@ -84,11 +90,33 @@ def _buckets(prints: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(index), np.concatenate(bucket)
 
 
+def _deeper(prints: np.ndarray, bucket: np.ndarray, bits: int, more: int) -> tuple[np.ndarray, np.ndarray]:
+    """(index into prints, bucket) for every part, by ``more`` further bits, of each print's bucket that holds variants of it."""
+    low = BITS - bits - more
+    left = 1 + _parity(prints) - np.bitwise_count((prints >> np.uint64(BITS - bits)) ^ bucket)
+    home = (prints >> np.uint64(low)) & np.uint64((1 << more) - 1)
+    masks = _masks(more, 2)
+    index, parts = [], []
+    for mask, k in zip(masks, np.bitwise_count(masks)):
+        chosen = np.flatnonzero(left.astype(np.int8) >= k)
+        index.append(chosen)
+        parts.append((bucket[chosen] << np.uint64(more)) | (home[chosen] ^ mask))
+    return np.concatenate(index), np.concatenate(parts)
+
+
+def _forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fewer than n links that join what the links (a, b) join."""
+    root = local_roots(n, a, b)
+    child = np.flatnonzero(root != np.arange(n))
+    return root[child], child
+
+
 def _met(prints: np.ndarray, bucket: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of prints that share a variant whose leading ``bits`` bits are ``bucket``.
+    """A spanning forest, as index pairs, of the links of prints that share a variant whose leading ``bits`` bits are ``bucket``.
 
     All prints that meet at a variant within distance 1 of one of them are linked to that one,
-    so each variant gives a star, not all pairs.
+    so each variant gives a star, not all pairs; every link is verified. A bucket with very many variants
+    is worked off in halves, of which only the forests are kept.
     """
     used = np.bitwise_count((prints >> np.uint64(BITS - bits)) ^ np.uint64(bucket))
     reach = 1 + _parity(prints)
@@ -98,7 +126,7 @@ def _met(prints: np.ndarray, bucket: int, bits: int) -> tuple[np.ndarray, np.nda
     if sum(per[k] * int((left == k).sum()) for k in per) > VARIANTS and low > 2:
         near = np.flatnonzero(left >= 0)
         parts = [_met(prints[near], 2 * bucket + b, bits + 1) for b in (0, 1)]
-        return tuple(near[np.concatenate(x)] for x in zip(*parts))
+        return _forest(len(prints), *(near[np.concatenate(x)] for x in zip(*parts)))
     index, variant, away = [], [], []
     home_bits = np.uint64(bucket) << np.uint64(low)
     rest = np.uint64((1 << low) - 1)
@@ -124,7 +152,10 @@ def _met(prints: np.ndarray, bucket: int, bits: int) -> tuple[np.ndarray, np.nda
     first = np.r_[True, variant[order[1:]] != variant[order[:-1]]]
     head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
     linked = ~first & (away[head] <= 1)
-    return index[head[linked]], index[order[linked]]
+    pairs = np.unique(index[head[linked]] * len(prints) + index[order[linked]])
+    a, b = pairs // len(prints), pairs % len(prints)
+    close = np.bitwise_count(prints[a] ^ prints[b]) <= RADIUS
+    return _forest(len(prints), a[close], b[close])
 
 
 def _links_of_bucket(table: pa.Table) -> pa.Table:
@@ -132,35 +163,64 @@ def _links_of_bucket(table: pa.Table) -> pa.Table:
     bucket, bits = table["bucket"][0].as_py(), table["bits"][0].as_py()
     prints = np.unique(table["fp"].to_numpy().view(np.uint64))
     a, b = _met(prints, bucket, bits)
-    pairs = np.unique(a * len(prints) + b)
-    a, b = pairs // len(prints), pairs % len(prints)
-    close = np.bitwise_count(prints[a] ^ prints[b]) <= RADIUS
-    root = local_roots(len(prints), a[close], b[close])
-    child = np.flatnonzero(root != np.arange(len(prints)))
     signed = prints.view(np.int64)
-    return pa.table({"a": signed[root[child]], "b": signed[child]})
+    return pa.table({"a": signed[a], "b": signed[b]})
 
 
-def linked_prints(prints: DataFrame) -> DataFrame:
-    """(node, root) of the fingerprints (column fp) that link with another one at distance 3 or less."""
-    distinct = written_table(prints.select("fp").where("fp is not null").distinct(), "fingerprints")
-    n = distinct.count()
-    bits = max(LEAST_BITS, int(np.ceil(np.log2(max(n, 1) / HOME))))
+_SENT = "bucket long, bits int, fp long"
+
+
+def _sent(bucket: np.ndarray, bits: int, prints: np.ndarray) -> pa.RecordBatch:
+    columns = {"bucket": bucket.astype(np.int64), "bits": np.full(len(bucket), bits, np.int32), "fp": prints.view(np.int64)}
+    return pa.record_batch(columns)
+
+
+def _in_buckets(distinct: DataFrame, bits: int) -> DataFrame:
+    """(bucket, bits, fp): every fingerprint in each bucket that holds variants of it, none with many more than ``GATHERED``.
+
+    Buckets are counted, with partial counts before the shuffle; the rows of those with too many are sent
+    on to their parts by further bits. The list of large buckets has at most a row per ``GATHERED`` rows, and its measured
+    size decides on the joins.
+    """
 
     def spread(batches):
         for batch in batches:
             own = batch.column("fp").to_numpy().view(np.uint64)
             index, bucket = _buckets(own, bits)
-            yield pa.record_batch(
-                {
-                    "bucket": bucket.astype(np.int64),
-                    "bits": np.full(len(bucket), bits, np.int32),
-                    "fp": own[index].view(np.int64),
-                }
-            )
-
-    sent = distinct.mapInArrow(spread, "bucket long, bits int, fp long")
-    return components(sent.groupBy("bucket").applyInArrow(_links_of_bucket, "a long, b long"), "simhash")
+            yield _sent(bucket, bits, own[index])
+
+    def cut(depth: int, more: int):
+        def run(batches):
+            for batch in batches:
+                own, bucket = (batch.column(c).to_numpy().view(np.uint64) for c in ("fp", "bucket"))
+                index, parts = _deeper(own, bucket, depth, more)
+                yield _sent(parts, depth + more, own[index])
+
+        return run
+
+    done, level, depth = [], distinct.mapInArrow(spread, _SENT), bits
+    while depth < MOST_BITS:
+        large = level.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > GATHERED).select("bucket")
+        large = written_table(large, "large-buckets")
+        if large.isEmpty():
+            break
+        level = written_table(level, "buckets")
+        more = min(DEEPER, MOST_BITS - depth)
+        done.append(level.join(large, "bucket", "left_anti").select("bucket", "bits", "fp"))
+        parts = level.join(large, "bucket", "left_semi").select("bucket", "bits", "fp")
+        level, depth = parts.mapInArrow(cut(depth, more), _SENT), depth + more
+    for part in done:
+        level = level.unionByName(part)
+    return level
+
+
+def linked_prints(prints: DataFrame) -> DataFrame:
+    """(node, root) of the fingerprints (column fp) that link with another one at distance 3 or less."""
+    distinct = written_table(prints.select("fp").where("fp is not null").distinct(), "fingerprints")
+    n = distinct.count()
+    bits = max(LEAST_BITS, int(np.ceil(np.log2(max(n, 1) / HOME))))
+    links = _in_buckets(distinct, bits).groupBy("bucket", "bits").applyInArrow(_links_of_bucket, "a long, b long")
+    return components(links, "simhash")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 3) -> DataFrame:
