@@ -237,15 +237,16 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", column: str =
     cell; then all links inside a component are counted, so ``n_links`` misses no link of
     vectors that some chain of found links joins. Equal vectors are one node with a number of
     copies. A vector that takes no part (see ``usable``) has no links and is its own component,
-    as is one without a partner. Ids are unique; rows with a null id link with nothing and have
+    as is one without a partner. Different vectors with one id stay different rows: each has the links
+    and the component of its own vector. Rows with a null id link with nothing and have
     a null component and are not kept. Vectors of other lengths do not link. Repeated rows
     count as copies. An empty table gives no rows. Other columns are not looked at.
     """
     rows = vectors.select(F.col(id_column).alias("id"), F.col(column).alias("x"))
     fit = usable("x") & F.col("id").isNotNull()
     rows = written_table(rows.select("id", F.when(fit, F.col("x")).alias("x")), "vectors")
-    nodes = rows.where("x is not null").groupBy("x").agg(F.min("id").cast("long").alias("node"), F.count("*").alias("copies"))
-    nodes = written_table(nodes, "vector-classes")
+    nodes = rows.where("x is not null").groupBy("x").agg(F.min("id").cast("long").alias("first"), F.count("*").alias("copies"))
+    nodes = written_table(nodes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     cells = nodes.select("node", "x").mapInArrow(_spread(False), "cell long, asks boolean, node long")
     sizes = cells.groupBy("cell").agg(F.count("*").alias("n"))
     sizes = written_table(sizes.where(F.col("n") > BLOCK).select("cell", F.ceil(F.col("n") / BLOCK).alias("blocks")), "hot-cells")
@@ -253,14 +254,16 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", column: str =
     met = nodes.select("node", "x").mapInArrow(_spread(True), f"cell long, asks boolean, node long, x {kind}")
     links = _blocked(met, "cell", sizes).mapInArrow(_forest, "a long, b long")
     roots = components(links, "vectors")
-    linked = nodes.join(roots, "node")
+    linked = nodes.drop("first").join(roots, "node")
     sizes = roots.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
     sizes = sizes.select("root", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     both = linked.withColumn("asks", F.explode(F.array(F.lit(False), F.lit(True))))
     counts = _blocked(both, "root", sizes).mapInArrow(_counts, "node long, links long")
     counts = counts.groupBy("node").agg(F.sum("links").alias("links"))
-    found = nodes.join(roots, "node", "left").join(counts, "node", "left")
-    found = found.select("x", F.coalesce("root", "node").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    least = nodes.select("node", "first").join(roots, "node").groupBy("root").agg(F.min("first").alias("least"))
+    named = roots.join(least, "root").select("node", "least")
+    found = nodes.join(named, "node", "left").join(counts, "node", "left")
+    found = found.select("x", F.coalesce("least", "first").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     own = F.coalesce("component_id", F.col("id").cast("long"))
     result = rows.join(found, "x", "left").select("id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), own.alias("component_id"))
     return result.select(F.col("id").alias(id_column), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))

@@ -108,3 +108,17 @@ def test_no_vectors(spark):
 
     nothing = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert lattice.near_duplicates(nothing).count() == 0 and topk.top_k(nothing, F.col("vec_id") % 2 == 0).count() == 0
+
+
+def test_vectors_with_one_id(spark):
+    from tallymill.llm import lattice
+
+    rng = np.random.default_rng(9)
+    one, two, three = (v.tolist() for v in rng.standard_normal((3, 64)))
+    near = lambda v: (np.array(v) + 0.01 * rng.standard_normal(64)).tolist()
+    rows = [(5, one), (5, two), (7, near(one)), (3, near(two)), (5, three), (5, three), (9, None), (9, [0.0] * 64), (9, one)]
+    df = spark.createDataFrame([(i, v, 0, 0) for i, v in rows], "vec_id long, embedding array<double>, node int, first int")
+    got = [(r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.near_duplicates(df).collect()]
+    # one: three rows of which two are equal; two: ids 3 and 5; three: twice; what takes no part is its own.
+    expected = [(5, 2, 5, True), (9, 2, 5, False), (7, 2, 5, False), (5, 1, 3, False), (3, 1, 3, True), (5, 1, 5, True), (5, 1, 5, True), (9, 0, 9, True), (9, 0, 9, True)]
+    same(got, expected)
