@@ -12,7 +12,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised.
 
     Dictionaries are learned from the labelled documents that are not held out. Rejected are texts
-    that are null or have no letter, and those for which two languages are too close to tell.
+    that are null or have no letter, and those for which two languages are too close to tell. Every row is
+    judged for itself by its text: repeated rows stay or go together, ids are not looked at but to hold rows out. Without
+    any labelled document no language is known and all are rejected. An empty table stays empty.
     """
     learned = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
     whole = docs.select(F.struct("*").alias("row"))
@@ -36,7 +38,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with pseudonyms for personal data; ``n_chars`` is counted anew where the text changed."""
+    """Documents with pseudonyms for personal data; ``n_chars`` is counted anew where the text changed.
+
+    Every row stays, null and empty texts as they are; repeated rows get the same pseudonyms. An empty table stays empty.
+    """
     whole = docs.select(F.struct("*").alias("row"), pii.pseudonymise(F.col("text"), queries.PSEUDONYM_KEY).alias("p"))
     changed = F.size("p.found") > 0
     n_chars = F.when(changed, F.length("p.text")).otherwise(F.col("row.n_chars"))
@@ -70,7 +75,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents, packed into sequences of 2,048 ids."""
+    """Pieces of the documents, packed into sequences of 2,048 ids.
+
+    A null text is an empty one, which has the closing id only. Each of repeated rows has pieces of its own, under the
+    same id; so have rows with a null id. An empty table gives no pieces.
+    """
     return packing.pack(docs, queries.WORD_BPE)
 
 
