@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallymill.functions.hashing import coefficient_table
-from tallymill.operators import columns, demand, links, popularity, scores, shingles, similarity, words
+from tallymill.operators import columns, demand, forest, links, popularity, scores, shingles, similarity, words
 from tallymill.plans import tables
 from tallymill.session import shared_folder, written_table
 from tallymill.sinks import writers
@@ -117,6 +117,19 @@ def hire_files_forecast(spark, sf) -> DataFrame:
     return demand.profile_forecast(delimited.read_hires(spark, f"{folder}/train"), delimited.read_hire_tests(spark, f"{folder}/test"))
 
 
+def hire_files_forest(spark, sf) -> DataFrame:
+    """Hire counts for training and test as CSV; forecast by a random forest, written as one sorted file and read back."""
+    folder = shared_folder(spark, "forest-hires")
+    train, test = tables.hire_split(spark, sf)
+    columns_ = [F.col("zone").alias("Zone_ID"), F.col("day").alias("Date"), F.col("hour").alias("Hour_slot"), F.col("hires").alias("Hire_count")]
+    writers.write_csv(train.select(*columns_), f"{folder}/train", header=True)
+    writers.write_csv(test.select(F.col("test_id").alias("Test_ID"), *columns_), f"{folder}/test", header=True)
+    model = forest.fit_forest(delimited.read_hires(spark, f"{folder}/train"))
+    told = forest.forest_forecast(model, delimited.read_hire_tests(spark, f"{folder}/test"))
+    writers.write_single(told, f"{folder}/forecast", ["test_id"])
+    return spark.read.schema(told.schema).csv(f"{folder}/forecast")
+
+
 def gps_file_rides(spark, sf) -> DataFrame:
     """Ride starts with a text timestamp; rides per zone and day."""
     path = shared_folder(spark, "gps")
@@ -239,16 +252,37 @@ def word_files_by_case_and_day(spark, sf) -> DataFrame:
     return back.select("case", F.col("day").cast("date").alias("day"), "word", "n")
 
 
-def article_file_ids(spark, sf) -> DataFrame:
-    """Articles in one file in the order of ids, read back with the place of each in the file."""
-    path = shared_folder(spark, "numbered-articles")
+def word_files_by_case_and_topic(spark, sf) -> DataFrame:
+    """Words of every case and topic as quoted files in a folder per case and topic, read back as they were."""
+    path = shared_folder(spark, "case-topic-words")
+    counts = words.word_count_by(tables.cases(spark, sf).where(F.col("topic").isin(tables.TOPICS)), ["case", "topic"])
+    writers.write_per_key(counts, path, ["case", "topic"], [F.desc("n"), F.asc("word")], quoted=True)
+    back = quoted.read_quoted(spark, path, "word string, n bigint", header=False, sep=" ", keys=["case", "topic"])
+    return back.select("case", "topic", "word", "n")
+
+
+def _article_file(spark, sf, name: str) -> DataFrame:
+    """The documents as tagged articles in one file, in the order of ids, read back from splits."""
+    path = shared_folder(spark, name)
     text = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     article = F.concat(F.lit('<REUTERS ID="'), "doc_id", F.lit('"><TEXT><BODY>'), text, F.lit("</BODY></TEXT></REUTERS>"))
     writers.write_single_text(tables.documents(spark, sf).select("doc_id", article.alias("article")), path, "article", ["doc_id"])
-    articles = corpus.read_large_corpus(spark, path, closing_tag="</REUTERS>")
+    return corpus.read_large_corpus(spark, path, closing_tag="</REUTERS>")
+
+
+def article_file_ids(spark, sf) -> DataFrame:
+    """Articles in one file in the order of ids, read back with the place of each in the file."""
+    articles = _article_file(spark, sf, "numbered-articles")
     return articles.select("position", "body")
 
 
+def article_file_signatures(spark, sf) -> DataFrame:
+    """The signatures by all 256 functions of the articles of a file, named by their place in it."""
+    articles = _article_file(spark, sf, "signed-articles").select(F.col("position").alias("doc_id"), F.col("body").alias("text"))
+    found = shingles.minhash_signatures(articles, num_hashes=256)
+    return found.select("hash_idx", F.col("doc_id").alias("position"), "minhash")
+
+
 def matrix_files(spark, sf) -> DataFrame:
     """The matrices of all cases and topics as quoted files with a line of words, read back cell by cell."""
     path = shared_folder(spark, "matrices")
@@ -339,5 +373,6 @@ QUERIES = [
     edge_file_degrees, hire_files_forecast, gps_file_rides, zone_file_bounds, article_files_documents,
     word_files_by_topic, top_word_file, degree_files_sorted, signature_files, link_files,
     news_file_texts, word_files_by_case_and_day, article_file_ids, matrix_files, signature_matrix_files,
+    word_files_by_case_and_topic, article_file_signatures, hire_files_forest,
     word_count_file, signature_coefficients, wide_average_files, link_lines, edge_file_in_degrees, edge_file_links, rating_file_user_similarity, rating_file_item_similarity,
 ]

@@ -302,6 +302,12 @@ WITH cases AS (
   UNION ALL SELECT 'Headline', doc_id, text FROM documents),
 words AS (SELECT "case", DATE '2015-11-01' + (doc_id % 30)::INT AS day, unnest(string_split({CLEAN}, ' ')) AS word FROM cases)
 SELECT "case", day::DATE AS day, word, count(*) AS n FROM words GROUP BY ALL"""
+CASE_TOPIC_FILES = f"""
+WITH cases AS (
+  SELECT 'Title' AS "case", lang AS topic, split_part(text, chr(10), 1) AS text FROM documents
+  UNION ALL SELECT 'Headline', lang, text FROM documents),
+words AS (SELECT "case", topic, unnest(string_split({CLEAN}, ' ')) AS word FROM cases WHERE topic IN ({", ".join(f"'{t}'" for t in tables.TOPICS)}))
+SELECT "case", topic, word, count(*) AS n FROM words GROUP BY ALL"""
 ARTICLE_IDS = "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, text AS body FROM documents"
 MATRIX_FILES = f"""
 WITH {CASES}, kept AS (
@@ -311,6 +317,9 @@ FROM kept a JOIN kept b ON a.doc_id = b.doc_id AND a."case" = b."case" AND a.top
 SIGNATURE_MATRIX = f"""
 SELECT hash_idx, row_number() OVER (PARTITION BY hash_idx ORDER BY doc_id) - 1 AS position, doc_id, minhash
 FROM ({_minhash(catalog.HASHES)})"""
+ARTICLE_SIGNATURES = f"""
+WITH places AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents)
+SELECT hash_idx, position, minhash FROM ({_minhash(catalog.HASHES)}) JOIN places USING (doc_id)"""
 _PAIRS = ", ".join(f"({i}, {a}::BIGINT, {b}::BIGINT)" for i, (a, b) in enumerate(coefficients(catalog.HASHES, catalog.SEED)))
 COEFFICIENTS = f"""
 SELECT hash_idx, min(minhash) AS least, count(*) FILTER (WHERE minhash = 0) AS zeros, a, b
@@ -385,6 +394,8 @@ def oracle_sql() -> dict[str, str]:
         "link_files": NODE_LINKS,
         "news_file_texts": NEWS_TEXTS,
         "word_files_by_case_and_day": CASE_DAY_FILES,
+        "word_files_by_case_and_topic": CASE_TOPIC_FILES,
+        "article_file_signatures": ARTICLE_SIGNATURES,
         "article_file_ids": ARTICLE_IDS,
         "matrix_files": MATRIX_FILES,
         "signature_matrix_files": SIGNATURE_MATRIX,

@@ -11,7 +11,7 @@ from tallymill.plans import catalog, oracle, tables
 FOLDER = str(compare.SF_ROOT / "sf0.001")
 QUERIES = catalog.queries()
 ORACLES = oracle.oracle_sql()
-NO_ORACLE = {"forest_forecast", "forest_rmse", "forest_scores"}
+NO_ORACLE = {"forest_forecast", "forest_rmse", "forest_scores", "hire_files_forest"}
 
 pytestmark = pytest.mark.skipif(not compare.SF_ROOT.exists(), reason="needs the test tables")
 
@@ -35,6 +35,11 @@ def test_forest_queries_return_rows(spark, name):
     assert QUERIES[name](spark, FOLDER).count() > 0
 
 
+def test_forest_from_files_forecasts_what_the_tables_give(spark, rows):
+    names = ["test_id", "zone", "day", "hour", "hires"]
+    assert rows(QUERIES["hire_files_forest"](spark, FOLDER), *names) == rows(QUERIES["forest_forecast"](spark, FOLDER), *names)
+
+
 def test_entry_registers_all_queries():
     assert set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
@@ -43,7 +48,7 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).columns == ["topic", "word", "n"]
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - NO_ORACLE - {"minhash_signatures", "signature_coefficients"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - NO_ORACLE - {"minhash_signatures", "signature_coefficients", "article_file_signatures"}))
 def test_no_python_worker_and_no_product_join(spark, name):
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoopJoin", plan)
