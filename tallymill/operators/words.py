@@ -8,7 +8,7 @@ must vanish they are filtered before, which reaches the file scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallymill.functions.text import space_words
 from tallymill.operators.ranking import top_per_group
@@ -71,22 +71,28 @@ def cooccurrence_cells(df: DataFrame, vocabulary: DataFrame, doc_id: str, keys:
     A word found m times and another found n times in one document add m * n, a word
     with itself m * m. ``vocabulary`` holds (keys..., word, rank); its words are the only ones
     counted, which also bounds the pairs of a document. It is written, so that its measured size
-    decides on the join. Each document is reduced to (rank, word, count) before pairing, and a
-    word is paired with those of its own or a higher rank only; the mirror image is added to the finished cells.
+    decides on the join, with a number for every word of every key, in the order of ranks. Each document is reduced to
+    (number, count) before pairing, and a word is paired with those of its own or a higher number only; words and keys come
+    back, and the mirror image is added, once the cells are finished.
     """
     known = vocabulary.select(*keys, "word", "rank").where(F.col("word").isNotNull())
-    known = written_table(known, "vocabulary")
+    known = known.groupBy(*keys, "rank", "word").agg(F.count("*").alias("copies")).orderBy(*keys, "rank", "word")
+    known = written_table(known.withColumn("number", F.monotonically_increasing_id()), "vocabulary-words")
+    # The first number of a key stands for the key.
+    known = written_table(known.withColumn("key", F.min("number").over(Window.partitionBy(*keys))), "vocabulary")
     tokens = df.where(F.col(text).isNotNull()).select(
         *keys, doc_id, F.explode_outer(space_words(F.col(text))).alias("word")
     )
-    found = tokens.join(known, [*keys, "word"]).groupBy(*keys, doc_id, "rank", "word").agg(F.count("*").alias("m"))
-    by_document = found.groupBy(*keys, doc_id).agg(F.sort_array(F.collect_list(F.struct("rank", "word", "m"))).alias("found"))
+    found = tokens.join(known, [*keys, "word"]).groupBy("key", F.col(doc_id).alias("doc"), "number").agg(F.sum("copies").alias("m"))
+    by_document = found.groupBy("key", "doc").agg(F.sort_array(F.collect_list(F.struct("number", "m"))).alias("found"))
 
-    left = by_document.select(*keys, "found", F.posexplode("found").alias("at", "a"))
+    left = by_document.select("found", F.posexplode("found").alias("at", "a"))
     rest = F.slice("found", F.col("at") + 1, F.size("found") - F.col("at"))
-    both = left.select(*keys, "a", F.explode(rest).alias("b"))
-    names = [F.col(f"{side}.{name}").alias(f"{name}_{side}") for side in ("a", "b") for name in ("rank", "word")]
-    cells = both.groupBy(*keys, *names).agg(F.sum(F.col("a.m") * F.col("b.m")).alias("n"))
+    both = left.select("a", F.explode(rest).alias("b"))
+    numbered = both.groupBy(F.col("a.number").alias("number_a"), F.col("b.number").alias("number_b"))
+    cells = numbered.agg(F.sum(F.col("a.m") * F.col("b.m")).alias("n"))
+    names = {s: [F.col("number").alias(f"number_{s}"), F.col("rank").alias(f"rank_{s}"), F.col("word").alias(f"word_{s}")] for s in ("a", "b")}
+    cells = cells.join(known.select(*keys, *names["a"]), "number_a").join(known.select(*names["b"]), "number_b")
 
     def cell(one: str, other: str):
         sides = [F.col(f"{name}_{side}").alias(f"{name}_{to}") for side, to in ((one, "a"), (other, "b")) for name in ("rank", "word")]

@@ -1,4 +1,5 @@
 import datetime
+import re
 from collections import Counter
 
 import pytest
@@ -136,3 +137,14 @@ def test_plain_words_keep_places_of_removed_marks(spark):
     df = spark.createDataFrame([(" A.b,\t... C \n",), ("  ",), (None,)], "text string")
     got = [r.words for r in text.with_plain_words(df, "text", []).collect()]
     assert got == [["ab", "", "c"], [], []]
+
+
+def test_pairs_are_counted_by_number(spark, rows):
+    df = spark.createDataFrame([(1, "t", "a a b"), (1, "t", "b c"), (None, "t", "a c"), (2, "u", "a b"), (3, None, "a b")], "doc_id int, topic string, text string")
+    top = spark.createDataFrame([("t", "a", 1), ("t", "b", 2), ("t", "c", 2), ("u", "a", 1), ("u", "b", 2), ("u", "b", 2), (None, "a", 1)], "topic string, word string, rank int")
+    cells = words.cooccurrence_cells(df, top, "doc_id", ["topic"])
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(([^)]*)\)", plan)[0].split(", ")) == 3  # two numbers, and that of partitions
+    expected = [("t", "a", "a", 5), ("t", "a", "b", 4), ("t", "b", "a", 4), ("t", "a", "c", 3), ("t", "c", "a", 3), ("t", "b", "b", 4), ("t", "b", "c", 2), ("t", "c", "c", 2)]
+    expected += [("u", "a", "a", 1), ("u", "a", "b", 2), ("u", "b", "a", 2), ("u", "b", "b", 4)]
+    assert rows(cells, "topic", "word_a", "word_b", "n") == sorted(expected, key=repr)
