@@ -23,6 +23,11 @@ def _settled(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")))
 
 
+def lowered_bytes(text: Column) -> Column:
+    """The lower-cased text as bytes; null becomes empty."""
+    return F.lower(F.coalesce(text, F.lit(""))).cast("binary")
+
+
 def with_plain_words(df: DataFrame, text: str, keep: list[str], name: str = "words") -> DataFrame:
     """(keep..., name): the words between runs of ASCII whitespace, lower-cased, without commas and full stops.
 

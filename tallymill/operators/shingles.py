@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tallymill.functions.hashing import coefficients, shingle_hashes, signature_batches
-from tallymill.functions.text import with_plain_words
+from tallymill.functions.hashing import coefficients, shingle_batches, shingle_hashes, signature_batches
+from tallymill.functions.text import SENTENCE_MARKS, lowered_bytes, with_plain_words
 from tallymill.session import written_table
 
-# Most shingles of a document per row sent to a Python worker.
-PIECE = 1024
+# Most shingles of a document hashed by all functions in one piece.
+PIECE = 16384
 
 
 def shingle_sets(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, method: str = "crc32") -> DataFrame:
@@ -46,19 +46,17 @@ def minhash_arrays(
 ) -> DataFrame:
     """(doc_id, signature): the least hash value of a document under each of the functions.
 
-    Nothing is shuffled, because a signature needs its own document only. Shingles are hashed
-    by Spark and handed in pieces of limited size, as Arrow batches, to a numpy loop over the
-    functions. As Spark expressions the same minima take one aggregation row per shingle and
-    block of functions, and the shuffle of all signatures: more than three times as long.
+    Nothing is shuffled, because a signature needs its own document only. Texts are lower-cased by
+    Spark and go as Arrow batches to a task that hashes the shingles, in pieces of limited size, and runs
+    a numpy loop over the functions. Shingles hashed by Spark's array functions give the same values, but
+    took most of the time of a signature, and their Arrow batches were larger than the texts. As Spark
+    expressions the same minima take one aggregation row per shingle and block of functions, and the
+    shuffle of all signatures.
     """
-    hashes = _hashed(df, doc_id, text, size, method)
-    starts = F.when(F.size("shingles") > 0, F.sequence(F.lit(0), F.size("shingles") - 1, F.lit(PIECE)))
-    pieces = F.transform(starts, lambda start: F.slice("shingles", start + 1, PIECE))
-    rows = hashes.select(doc_id, F.posexplode_outer(pieces).alias("piece", "shingles"))
-    empty = F.array().cast("array<bigint>")
-    rows = rows.select(doc_id, F.coalesce("piece", F.lit(0)).alias("piece"), F.coalesce("shingles", empty).alias("shingles"))
+    hashed = shingle_batches(size, method, PIECE, SENTENCE_MARKS)
+    signed = signature_batches(coefficients(num_hashes, seed))
     schema = T.StructType([df.schema[doc_id], T.StructField("signature", T.ArrayType(T.LongType()))])
-    return rows.mapInArrow(signature_batches(coefficients(num_hashes, seed)), schema)
+    return df.select(doc_id, lowered_bytes(F.col(text)).alias("text")).mapInArrow(lambda batches: signed(hashed(batches)), schema)
 
 
 def minhash_signatures(df: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
@@ -66,22 +64,28 @@ def minhash_signatures(df: DataFrame, doc_id: str = "doc_id", **options) -> Data
     return minhash_arrays(df, doc_id, **options).select(doc_id, F.posexplode("signature").alias("hash_idx", "minhash"))
 
 
-def signature_pieces(signatures: DataFrame, doc_id: str = "doc_id", block: int = 4096) -> DataFrame:
+def signature_pieces(signatures: DataFrame, doc_id: str = "doc_id", block: int = 4096, ordered: bool = False) -> DataFrame:
     """(row, first, values): the matrix of functions x documents, in pieces of rows.
 
     ``signatures`` are those of :func:`minhash_arrays`. Documents go by id over all tasks, and each block of
     them is turned from columns into rows within its task: row i holds the values of function i, row -1 the ids.
     ``first`` is the place of the piece's first document among all, from the number of documents in the
     blocks before. Only pieces leave a task, and only their sizes are counted through. Ids have to be numbers.
+
+    Ordering looks at its input twice, first for the ranges of ids. Where the documents were put in order of ids
+    before they were signed, ``ordered`` leaves it out, so that every signature is made once.
     """
-    ordered = written_table(_blocks_of_rows(signatures, doc_id, block), "signature-pieces")
-    sizes = ordered.where("row = -1").select("block", F.size("values").cast("long").alias("n"))
+    rows = signatures.select(doc_id, "signature").where(F.col(doc_id).isNotNull())
+    rows = rows if ordered else written_table(rows, "signatures").orderBy(doc_id)
+    blocks = written_table(_blocks_of_rows(rows, block), "signature-pieces")
+    sizes = blocks.where("row = -1").select("block", F.size("values").cast("long").alias("n"))
     before = F.sum("n").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     places = sizes.select("block", F.coalesce(before, F.lit(0)).alias("first"))
-    return ordered.join(places, "block").select("row", "first", "values")
+    # One row for each block of thousands of documents, so the pieces need not move to meet it.
+    return blocks.join(F.broadcast(places), "block").select("row", "first", "values")
 
 
-def _blocks_of_rows(signatures: DataFrame, doc_id: str, block: int) -> DataFrame:
+def _blocks_of_rows(ordered: DataFrame, block: int) -> DataFrame:
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -110,7 +114,6 @@ def _blocks_of_rows(signatures: DataFrame, doc_id: str, block: int) -> DataFrame
         if held:
             yield turned()
 
-    ordered = signatures.select(doc_id, "signature").where(F.col(doc_id).isNotNull()).orderBy(doc_id)
     return ordered.mapInArrow(run, "block long, row int, values array<long>")
 
 
@@ -118,9 +121,8 @@ def matrix_cells(pieces: DataFrame) -> DataFrame:
     """(hash_idx, position, doc_id, minhash) of a signature matrix in pieces: ids and values of a place side by side."""
     ids = pieces.where("row = -1").select("first", F.col("values").alias("ids"))
     both = pieces.where("row >= 0").join(ids, "first")
-    each = F.arrays_zip("ids", "values")
-    cells = both.select(F.col("row").alias("hash_idx"), "first", F.posexplode(each).alias("at", "cell"))
-    return cells.select("hash_idx", (F.col("first") + F.col("at")).alias("position"), F.col("cell.ids").alias("doc_id"), F.col("cell.values").alias("minhash"))
+    cells = both.select(F.col("row").alias("hash_idx"), "first", "ids", F.posexplode("values").alias("at", "minhash"))
+    return cells.select("hash_idx", (F.col("first") + F.col("at")).alias("position"), F.get("ids", "at").alias("doc_id"), "minhash")
 
 
 def _hashed(df: DataFrame, doc_id: str, text: str, size: int, method: str) -> DataFrame:

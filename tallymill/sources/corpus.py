@@ -52,8 +52,8 @@ def read_large_corpus(spark: SparkSession, path, closing_tag: str, body_tag: str
     A file is split over tasks between records; a piece holds several records where closing
     tags are missing or written otherwise, and all of them are returned. ``position`` counts the
     records of a file from 0, however it was split: records are numbered within their split, and the
-    numbers of records in the splits before are added. The records are written once, so that both
-    counts speak of the same reading.
+    numbers of records in the splits before are added, a table of one row per split, which goes to the
+    records. The records are written once, so that both counts speak of the same reading.
     """
     pieces = spark.read.text(path, lineSep=closing_tag).select(
         F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value"
@@ -65,5 +65,5 @@ def read_large_corpus(spark: SparkSession, path, closing_tag: str, body_tag: str
     splits = found.groupBy(*own).agg(F.min("n").alias("least"), F.count("*").alias("records"))
     before = F.sum("records").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1))
     shift = splits.select(*own, (F.coalesce(before, F.lit(0)) - F.col("least")).alias("shift"))
-    bodies = found.join(shift, own).select("file", (F.col("n") + F.col("shift")).alias("position"), body_text(F.col("record"), body_tag).alias("body"))
+    bodies = found.join(F.broadcast(shift), own).select("file", (F.col("n") + F.col("shift")).alias("position"), body_text(F.col("record"), body_tag).alias("body"))
     return with_plain_words(bodies, "body", ["file", "position", "body"])

@@ -232,3 +232,13 @@ def test_matrix_files_have_a_line_of_words(spark, tmp_path):
     writers.write_matrices(matrices, words.matrix_headers(top, ["topic"], 3), str(tmp_path / "m"), ["topic"], 3)
     assert joined(tmp_path / "m" / "topic=t") == '"word_word","a","","b"\n"a","4","2","2"\n"","2","1","1"\n"b","2","1","1"\n'
     assert joined(tmp_path / "m" / "topic=u").splitlines()[1] == '"c","1","0","0"'
+
+
+def test_bodies_of_a_large_corpus_are_not_shuffled(spark, tmp_path):
+    put(tmp_path / "c", "a.sgm", "".join(f"<REUTERS><BODY>{i}</BODY></REUTERS>" for i in range(20)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = corpus.read_large_corpus(spark, str(tmp_path / "c"), closing_tag="</REUTERS>")
+        assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

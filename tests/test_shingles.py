@@ -103,3 +103,50 @@ def test_equal_texts_have_equal_signatures_and_overlap_shows(spark):
 def test_published_coefficients(spark, rows):
     table = hashing.coefficient_table(spark, 4, seed=9)
     assert rows(table) == [(i, a, b) for i, (a, b) in enumerate(hashing.coefficients(4, 9))]
+
+
+def test_signatures_are_those_of_the_shingles_that_spark_hashes(spark, rows):
+    texts = ["a\x0bb\fc d \x1c e", " . , .", "x.", "\t\n", "A B\r\nC Ä,Ö Σ. d", "a . b , c", "a b c " * 40]
+    for size, method in ((1, "crc32"), (3, "crc32"), (2, "md5")):
+        hashes = {i: [] for i in range(len(texts))}
+        for r in shingles.doc_shingles(docs(spark, *texts), size=size, method=method).collect():
+            hashes[r.doc_id].append(r.shingle)
+        pairs = hashing.coefficients(6, 1)
+        expected = [(d, k, min(((a * x + b) % hashing.PRIME for x in h), default=0)) for d, h in hashes.items() for k, (a, b) in enumerate(pairs)]
+        assert rows(shingles.minhash_signatures(docs(spark, *texts), num_hashes=6, size=size, method=method)) == sorted(expected, key=repr)
+
+
+def test_signatures_expand_no_shingles_in_spark(spark):
+    plan = shingles.minhash_arrays(docs(spark, "a b c"))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "transform(" not in plan
+
+
+def test_signing_a_batch_takes_little_beside_it():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    n, each = 10_000, 100
+    lists = pa.ListArray.from_arrays(np.arange(0, n * each + 1, each, dtype=np.int32), np.arange(n * each))
+    batch = pa.record_batch([pa.array(np.arange(n)), pa.array(np.zeros(n, np.int32)), lists], ["id", "piece", "shingles"])
+    tracemalloc.start()
+    try:
+        signed = sum(len(b) for b in hashing.signature_batches(hashing.coefficients(256, 1))([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert signed == n and peak < 12e6
+
+
+def test_signatures_are_made_once_for_a_matrix(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    arrays = shingles.minhash_arrays(docs(spark, *[f"a b c{i}" for i in range(60)]), num_hashes=3)
+    shingles.signature_pieces(arrays.mapInArrow(counted, arrays.schema)).collect()
+    assert made.value == 60
