@@ -302,8 +302,8 @@ def matrix_files(spark, sf) -> DataFrame:
 def signature_matrix_files(spark, sf) -> DataFrame:
     """The matrix of all 256 functions x documents as files of row pieces, read back with ids and places."""
     path = shared_folder(spark, "signature-matrix")
-    arrays = shingles.minhash_arrays(tables.documents(spark, sf), num_hashes=256)
-    writers.write_matrix_pieces(shingles.signature_pieces(arrays), path)
+    arrays = shingles.minhash_arrays(tables.documents(spark, sf).select("doc_id", "text").orderBy("doc_id"), num_hashes=256)
+    writers.write_matrix_pieces(shingles.signature_pieces(arrays, ordered=True), path)
     return shingles.matrix_cells(writers.read_matrix_pieces(spark, path))
 
 

@@ -15,6 +15,8 @@ from tallymill.session import remove_folder, shared_folder, written_table
 QUOTED = {"quoteAll": True, "quote": '"', "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 #: First cell of a matrix file; words consist of letters and white space only.
 CORNER = "word_word"
+#: Places of a matrix row in one file, some ten MB of text.
+FILE_PLACES = 1 << 20
 
 
 def write_csv(df: DataFrame, path: str, header: bool = False, sep: str = ",") -> None:
@@ -143,17 +145,22 @@ def write_signature_rows(signatures: DataFrame, path: str, doc_id: str = "doc_id
 def write_matrix_pieces(pieces: DataFrame, path: str) -> None:
     """The matrix of ``shingles.signature_pieces``: one folder ``row=<name>``, a text line for each piece.
 
-    A line holds the place of its first document and the values, separated by commas.
+    A line holds the place of its first document and the values, separated by commas. The pieces of a row
+    that lie in the same ``FILE_PLACES`` places go to one file, so the number of files grows with the values and
+    not with tasks times rows.
     """
     line = F.concat_ws(",", F.col("first").cast("string"), F.array_join(F.col("values").cast("array<string>"), ","))
-    pieces.select("row", line.alias("value")).write.mode("overwrite").partitionBy("row").text(path)
+    together = pieces.repartition("row", F.floor(F.col("first") / FILE_PLACES))
+    together.select("row", line.alias("value")).write.mode("overwrite").partitionBy("row").text(path)
 
 
 def read_matrix_pieces(spark: SparkSession, path: str) -> DataFrame:
     """(row, first, values) as written by :func:`write_matrix_pieces`."""
     lines = spark.read.schema("value string, row int").text(path)
-    numbers = F.split("value", ",").cast("array<bigint>")
-    return lines.select("row", F.element_at(numbers, 1).alias("first"), F.slice(numbers, 2, F.size(numbers) - 1).alias("values"))
+    # The place is cut off before the values are split: joins look at it first, line by line.
+    first = F.substring_index("value", ",", 1)
+    rest = F.split(F.substring(F.col("value"), F.length(first) + 2, F.length("value")), ",")
+    return lines.select("row", first.cast("bigint").alias("first"), rest.cast("array<bigint>").alias("values"))
 
 
 def write_matrices(matrices: DataFrame, headers: DataFrame, path: str, keys: list[str], size: int) -> None:

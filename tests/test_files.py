@@ -234,6 +234,19 @@ def test_matrix_files_have_a_line_of_words(spark, tmp_path):
     assert joined(tmp_path / "m" / "topic=u").splitlines()[1] == '"c","1","0","0"'
 
 
+def test_matrix_pieces_fill_few_files(spark, tmp_path):
+    from tallymill.operators import shingles
+
+    df = spark.createDataFrame([(i, f"w{i} x y z w{i % 5}") for i in range(300)], "doc_id bigint, text string").repartition(6)
+    arrays = shingles.minhash_arrays(df.orderBy("doc_id"), num_hashes=4)
+    pieces = shingles.signature_pieces(arrays, block=10, ordered=True).repartition(6)
+    writers.write_matrix_pieces(pieces, str(tmp_path / "m"))
+    assert all(len([*(tmp_path / "m" / f"row={i}").glob("part-*")]) == 1 for i in range(-1, 4))
+    cells = shingles.matrix_cells(writers.read_matrix_pieces(spark, str(tmp_path / "m")))
+    found = sorted((r.position, r.doc_id, r.hash_idx, r.minhash) for r in cells.collect())
+    assert found == sorted((r.doc_id, r.doc_id, i, v) for r in arrays.collect() for i, v in enumerate(r.signature))
+
+
 def test_bodies_of_a_large_corpus_are_not_shuffled(spark, tmp_path):
     put(tmp_path / "c", "a.sgm", "".join(f"<REUTERS><BODY>{i}</BODY></REUTERS>" for i in range(20)))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
