@@ -210,7 +210,8 @@ def degree_files_sorted(spark, sf) -> DataFrame:
 def signature_files(spark, sf) -> DataFrame:
     """The signature matrix as one line per hash function, read back value by value."""
     path = shared_folder(spark, "signatures")
-    writers.write_signature_rows(shingles.minhash_signatures(tables.documents(spark, sf), num_hashes=16), path)
+    arrays = written_table(shingles.minhash_arrays(tables.documents(spark, sf), num_hashes=16), "signature-arrays")
+    writers.write_signature_rows(arrays.select("doc_id", F.posexplode("signature").alias("hash_idx", "minhash")), path)
     cells = spark.read.schema("value string, hash_idx int").option("lineSep", ",").text(path)
     return cells.select("hash_idx", F.col("value").cast("bigint").alias("minhash"))
 
