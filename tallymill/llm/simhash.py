@@ -105,10 +105,23 @@ def _deeper(prints: np.ndarray, bucket: np.ndarray, bits: int, more: int) -> tup
 
 
 def _forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Fewer than n links that join what the links (a, b) join."""
-    root = local_roots(n, a, b)
-    child = np.flatnonzero(root != np.arange(n))
-    return root[child], child
+    """Fewer than n of the links (a, b) that join what all of them join.
+
+    Each round, every component takes its first link to another one, so there are no cycles and about log n rounds.
+    """
+    chosen, at, u, v = np.empty(0, int), np.arange(len(a)), a, b
+    while True:
+        apart = u != v
+        at, u, v = at[apart], u[apart], v[apart]
+        if not len(at):
+            return a[chosen], b[chosen]
+        first = np.full(n, len(at))
+        np.minimum.at(first, u, np.arange(len(at)))
+        np.minimum.at(first, v, np.arange(len(at)))
+        new = np.unique(first[first < len(at)])
+        chosen = np.concatenate([chosen, at[new]])
+        root = local_roots(n, u[new], v[new])
+        u, v = root[u], root[v]
 
 
 def _met(prints: np.ndarray, bucket: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,12 +172,13 @@ def _met(prints: np.ndarray, bucket: int, bits: int) -> tuple[np.ndarray, np.nda
 
 
 def _links_of_bucket(table: pa.Table) -> pa.Table:
-    """A spanning forest of the verified links found in one bucket."""
+    """Stars that join what the verified links of one bucket join; joined over all buckets, they settle in fewer rounds than chains."""
     bucket, bits = table["bucket"][0].as_py(), table["bits"][0].as_py()
     prints = np.unique(table["fp"].to_numpy().view(np.uint64))
-    a, b = _met(prints, bucket, bits)
+    root = local_roots(len(prints), *_met(prints, bucket, bits))
+    child = np.flatnonzero(root != np.arange(len(prints)))
     signed = prints.view(np.int64)
-    return pa.table({"a": signed[a], "b": signed[b]})
+    return pa.table({"a": signed[root[child]], "b": signed[child]})
 
 
 _SENT = "bucket long, bits int, fp long"

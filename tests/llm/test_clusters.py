@@ -43,3 +43,14 @@ def test_large_buckets_are_cut(spark, monkeypatch):
     sizes = simhash._in_buckets(df, simhash.LEAST_BITS).groupBy("bucket", "bits").count().collect()
     assert max(r["count"] for r in sizes) <= 500 < max(np.bincount((prints >> np.uint64(56)).astype(int)))
     assert {r.bits for r in sizes} > {simhash.LEAST_BITS}
+
+
+def test_a_forest_is_made_of_the_given_links():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        n = int(rng.integers(1, 30))
+        a, b = rng.integers(0, n, (2, int(rng.integers(0, 60))))
+        x, y = simhash._forest(n, a, b)
+        root = local_roots(n, a, b)
+        assert local_roots(n, x, y).tolist() == root.tolist() and len(x) == n - len(set(root.tolist()))
+        assert set(zip(x.tolist(), y.tolist())) <= set(zip(a.tolist(), b.tolist()))
